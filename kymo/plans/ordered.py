@@ -1,0 +1,319 @@
+"""Ordered scans over a key that stay parallel when one key holds most rows.
+
+A plain ``Window.partitionBy(recording)`` puts a recording into one task. Here a
+recording that is too large for that is cut along its order into *lanes*, and the
+window runs per ``(recording, lane)``. What a lane needs from its neighbours (the
+previous row, the running sum so far, ...) is first computed on one row per lane
+and joined back, so results equal those of the plain window.
+
+Ordinary recordings form a single lane (``-1``). When a count per key finds no
+large recording at all, the plan is the plain window and nothing else.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+LANE = "lane_"
+_ALL = "all_"
+
+# Keys beyond HOT_KEYS in size rank hold less than 1/HOT_KEYS of the rows each,
+# which is a fair share for one task, so they need no lanes. The limit also
+# bounds the table of lane widths, which is read to the driver and broadcast.
+HOT_KEYS = 4096
+HOT_ROWS_CONF = "spark.kymo.hotRows"
+LANE_ROWS_CONF = "spark.kymo.laneRows"
+HOT_ROWS = 1_000_000
+LANE_ROWS = 65_536
+_MEASURED: dict[tuple, list[tuple]] = {}
+
+
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
+
+
+def _col(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def _pack(columns: Mapping[str, Column | str]) -> Column:
+    return F.struct(*[_col(c).alias(name) for name, c in columns.items()])
+
+
+def assign_lanes(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
+    """Add the lane number of every row.
+
+    ``pos`` is a non-null bigint column that never decreases along the order used
+    later. Keys are counted first (one narrow, map-side combined pass); only those
+    above the row limit are cut, into equal steps of ``pos``. With none, the plan
+    that follows is the plain window.
+    """
+    keys = list(keys)
+    hot = _hot_keys(df, keys, pos)
+    if not hot:
+        plain = df.withColumn(LANE, F.lit(-1).cast("bigint"))
+        return plain.withMetadata(LANE, {"cut": False})
+    schema = T.StructType(
+        [*(T.StructField(k, df.schema[k].dataType) for k in keys)]
+        + [T.StructField(c, T.LongType()) for c in ("lo_", "width_")]
+    )
+    widths = df.sparkSession.createDataFrame(hot, schema)
+    lane = F.floor((F.col(pos) - F.col("lo_")) / F.col("width_")).cast("bigint")
+    return (
+        df.join(F.broadcast(widths), keys, "left")
+        .withColumn(
+            LANE,
+            F.when(F.col("width_").isNull(), F.lit(-1)).otherwise(F.greatest(lane, F.lit(0))),
+        )
+        .drop("lo_", "width_")
+    )
+
+
+def _hot_keys(df: DataFrame, keys: list[str], pos: str) -> list[tuple]:
+    """At most HOT_KEYS rows ``(*keys, lowest pos, lane width)`` of the largest keys.
+
+    Kept per plan: an outdated answer would only change how work is spread.
+    """
+    hot_rows = _setting(df, HOT_ROWS_CONF, HOT_ROWS)
+    lane_rows = _setting(df, LANE_ROWS_CONF, LANE_ROWS)
+    narrow = df.select(*keys, F.col(pos).alias("pos_"))
+    known = (narrow.semanticHash(), tuple(keys), hot_rows, lane_rows)
+    if known not in _MEASURED:
+        counts = (
+            narrow.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_"), F.min("pos_").alias("lo_"), F.max("pos_").alias("hi_"))
+            .filter(F.col("n_") > hot_rows)
+            .orderBy(F.desc("n_"), *keys)
+            .limit(HOT_KEYS)
+        )
+        found = []
+        for *key, n, lo, hi in (tuple(r) for r in counts.collect()):
+            steps = -(-n // lane_rows)
+            found.append((*key, lo, max(1, -(-(hi - lo + 1) // steps))))
+        _MEASURED[known] = found
+    return _MEASURED[known]
+
+
+def is_cut(df: DataFrame) -> bool:
+    """False when no key of ``df`` was large enough to be cut into lanes."""
+    return bool(df.schema[LANE].metadata.get("cut", True))
+
+
+def ordered(
+    df: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    order: Sequence[str] | None = None,
+    *,
+    prev: Mapping[str, Column | str] | None = None,
+    following: Mapping[str, Column | str] | None = None,
+    sums: Mapping[str, Column | str] | None = None,
+    earlier_max: Mapping[str, Column | str] | None = None,
+    totals: Mapping[str, Column | str] | None = None,
+    last_known: Mapping[str, Column | str] | None = None,
+    next_known: Mapping[str, Column | str] | None = None,
+    number: str | None = None,
+) -> DataFrame:
+    """Window values along ``order`` within ``keys``, without one task per key.
+
+    ``prev``/``following``: the value one row before/after. ``sums``: running sum
+    including the row. ``earlier_max``: largest value on earlier rows. ``totals``:
+    sum over the whole key. ``last_known``/``next_known``: nearest non-null value
+    at or before/after the row. ``number``: position from 1.
+    """
+    prev, following = dict(prev or {}), dict(following or {})
+    sums, totals = dict(sums or {}), dict(totals or {})
+    earlier_max = dict(earlier_max or {})
+    last_known, next_known = dict(last_known or {}), dict(next_known or {})
+    order = list(order or [pos])
+    out = list(df.columns)
+    if not keys:
+        df = df.withColumn(_ALL, F.lit(0))
+        keys = [_ALL]
+    keys = list(keys)
+    rows = df if LANE in df.columns else assign_lanes(df, keys, pos)
+
+    cut = is_cut(rows)
+    if cut:
+        edges = _lane_edges(
+            rows, keys, order, prev, following, sums, earlier_max, totals, last_known, next_known
+        )
+        rows = rows.join(edges, [*keys, LANE], "left")
+
+    def handed(here: Column, edge: str, join=F.coalesce) -> Column:
+        return join(here, F.col(edge)) if cut else here
+
+    lane = Window.partitionBy(*keys, LANE) if cut else Window.partitionBy(*keys)
+    along = lane.orderBy(*order)
+    back = lane.orderBy(*[F.desc(c) for c in order])
+    to_here = along.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+
+    def plus(here: Column, before: Column) -> Column:
+        return here + F.coalesce(before, F.lit(0))
+
+    made: dict[str, Column] = {}
+    if prev:
+        made["prev_"] = handed(F.lag(_pack(prev)).over(along), "edge_prev_")
+    if following:
+        made["following_"] = handed(F.lead(_pack(following)).over(along), "edge_following_")
+    for name, value in sums.items():
+        made[name] = handed(F.sum(_col(value)).over(to_here), f"edge_sum_{name}", plus)
+    for name, value in earlier_max.items():
+        made[name] = handed(F.max(_col(value)).over(earlier), f"edge_max_{name}", F.greatest)
+    for name, value in totals.items():
+        whole = F.sum(_col(value)).over(lane)
+        made[name] = F.coalesce(F.col(f"edge_total_{name}"), whole) if cut else whole
+    for name, value in last_known.items():
+        here = F.last(_col(value), ignorenulls=True).over(to_here)
+        made[name] = handed(here, f"edge_last_{name}")
+    for name, value in next_known.items():
+        here = F.last(_col(value), ignorenulls=True).over(
+            back.rowsBetween(Window.unboundedPreceding, 0)
+        )
+        made[name] = handed(here, f"edge_next_{name}")
+    if number:
+        here = F.row_number().over(along).cast("bigint")
+        made[number] = handed(here, "edge_rows_", plus)
+    result = rows.select(*[c for c in out], *[c.alias(name) for name, c in made.items()])
+    unpacked = [F.col(f"prev_.{n}").alias(n) for n in prev]
+    unpacked += [F.col(f"following_.{n}").alias(n) for n in following]
+    direct = [n for n in made if n not in ("prev_", "following_")]
+    return result.select(*out, *unpacked, *direct)
+
+
+def _lane_edges(
+    rows, keys, order, prev, following, sums, earlier_max, totals, last_known, next_known
+) -> DataFrame:
+    """One row per lane of the cut keys: what its neighbours hand over."""
+    at = F.struct(*[F.col(c) for c in order])
+    aggs = [F.count(F.lit(1)).alias("rows_")]
+    if prev:
+        aggs.append(F.max_by(_pack(prev), at).alias("last_"))
+    if following:
+        aggs.append(F.min_by(_pack(following), at).alias("first_"))
+    aggs += [F.sum(_col(v)).alias(f"sum_{n}") for n, v in sums.items()]
+    aggs += [F.max(_col(v)).alias(f"max_{n}") for n, v in earlier_max.items()]
+    aggs += [F.sum(_col(v)).alias(f"total_{n}") for n, v in totals.items()]
+    for n, v in last_known.items():
+        aggs.append(F.max_by(_col(v), F.when(_col(v).isNotNull(), at)).alias(f"last_{n}"))
+    for n, v in next_known.items():
+        aggs.append(F.min_by(_col(v), F.when(_col(v).isNotNull(), at)).alias(f"next_{n}"))
+    lanes = rows.filter(F.col(LANE) >= 0).groupBy(*keys, LANE).agg(*aggs)
+
+    along = Window.partitionBy(*keys).orderBy(LANE)
+    back = Window.partitionBy(*keys).orderBy(F.desc(LANE))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    handed = [F.sum("rows_").over(earlier).alias("edge_rows_")]
+    if prev:
+        handed.append(F.lag("last_").over(along).alias("edge_prev_"))
+    if following:
+        handed.append(F.lead("first_").over(along).alias("edge_following_"))
+    handed += [F.sum(f"sum_{n}").over(earlier).alias(f"edge_sum_{n}") for n in sums]
+    handed += [F.max(f"max_{n}").over(earlier).alias(f"edge_max_{n}") for n in earlier_max]
+    whole = Window.partitionBy(*keys)
+    handed += [F.sum(f"total_{n}").over(whole).alias(f"edge_total_{n}") for n in totals]
+    handed += [
+        F.last(f"last_{n}", ignorenulls=True).over(earlier).alias(f"edge_last_{n}")
+        for n in last_known
+    ]
+    handed += [
+        F.last(f"next_{n}", ignorenulls=True).over(later).alias(f"edge_next_{n}")
+        for n in next_known
+    ]
+    return lanes.select(*keys, LANE, *handed)
+
+
+def with_halo(
+    df: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    order: Sequence[str],
+    before: int,
+    after: int,
+    flag: str = "halo_",
+) -> DataFrame:
+    """Give every lane copies of the ``before``/``after`` rows around it.
+
+    Row frames no wider than that, taken over ``(keys, LANE)``, then equal frames
+    over the whole key. Copies carry ``flag`` = true; drop them after the window.
+    """
+    rows = df if LANE in df.columns else assign_lanes(df, keys, pos)
+    if not is_cut(rows):
+        return rows.withColumn(flag, F.lit(False))
+    names = rows.columns
+    data = [c for c in names if c not in (*keys, LANE)]
+    lane = Window.partitionBy(*keys, LANE)
+    head = F.row_number().over(lane.orderBy(*order))
+    tail = F.row_number().over(lane.orderBy(*[F.desc(c) for c in order]))
+    borders = (
+        rows.filter(F.col(LANE) >= 0)
+        .withColumns({"head_": head, "tail_": tail})
+        .filter((F.col("head_") <= max(after, 1)) | (F.col("tail_") <= max(before, 1)))
+    )
+    along = Window.partitionBy(*keys).orderBy(*order)
+    packed = F.struct(*data)
+    none = F.array().cast(f"array<{_struct_type(rows, data)}>")
+    prior = F.collect_list(packed).over(along.rowsBetween(-before, -1)) if before else none
+    later = F.collect_list(packed).over(along.rowsBetween(1, after)) if after else none
+    borders = borders.withColumns({"prior_": prior, "later_": later})
+    copies = borders.select(
+        *keys,
+        LANE,
+        F.explode(
+            F.concat(
+                F.when(F.col("head_") == 1, F.col("prior_")).otherwise(none),
+                F.when(F.col("tail_") == 1, F.col("later_")).otherwise(none),
+            )
+        ).alias("row_"),
+    ).select(*keys, LANE, "row_.*")
+    return rows.withColumn(flag, F.lit(False)).unionByName(
+        copies.select(*names).withColumn(flag, F.lit(True))
+    )
+
+
+def _struct_type(df: DataFrame, columns: Sequence[str]) -> str:
+    return df.select(*columns).schema.simpleString()
+
+
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "median"
+) -> DataFrame:
+    """Exact median of a bigint column per key, null when the key has no value.
+
+    Values are counted per ``(key, value)`` before they meet, so a key is never
+    gathered in one task and repeated values cost one row.
+    """
+    keys = list(keys)
+    counted = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("c_"))
+        # logarithmic position: long tails of large steps still give even lanes
+        .withColumn(
+            "p_",
+            F.floor(
+                F.signum(F.col(value)) * F.log2(F.abs(F.col(value)) + F.lit(1.0)) * F.lit(1 << 20)
+            ).cast("bigint"),
+        )
+    )
+    ranked = ordered(
+        counted, keys, "p_", ["p_", value], sums={"upto_": "c_"}, totals={"all_n_": "c_"}
+    )
+    low = F.floor((F.col("all_n_") + 1) / 2)
+    high = F.floor(F.col("all_n_") / 2) + 1
+    return ranked.groupBy(*keys).agg(
+        (
+            (
+                F.min(F.when(F.col("upto_") >= low, F.col(value)))
+                + F.min(F.when(F.col("upto_") >= high, F.col(value)))
+            )
+            / F.lit(2.0)
+        ).alias(out)
+    )
