@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymo.plans.ordered import ordered
+from kymo.plans.ordered import ordered, spread_range
 from kymo.plans.sweep import sweep
 
 
@@ -44,24 +44,18 @@ def interval_dilate(a: DataFrame, keys: Sequence[str], by: int) -> DataFrame:
 def interval_subdivide(df: DataFrame, step: int, keep_short: bool = False) -> DataFrame:
     """Cut intervals into steps; the short rest is dropped unless asked for.
 
-    Attributes are copied to each step. One interval yields its own steps only, so
-    the work spreads with the rows.
+    Attributes are copied to each step.
     """
     length = F.col("end") - F.col("start")
     pieces = F.ceil(length / F.lit(step)) if keep_short else F.floor(length / F.lit(step))
     first = F.col("start")
-    return (
-        df.withColumn("pieces_", pieces.cast("bigint"))
-        .filter(F.col("pieces_") > 0)
-        .withColumn("step_", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces_") - 1)))
-        .withColumns(
-            {
-                "start": first + F.col("step_") * step,
-                "end": F.least(first + (F.col("step_") + 1) * step, F.col("end")),
-            }
-        )
-        .drop("pieces_", "step_")
-    )
+    steps = spread_range(df, ["start", "end"], pieces, "step_")
+    return steps.withColumns(
+        {
+            "start": first + F.col("step_") * step,
+            "end": F.least(first + (F.col("step_") + 1) * step, F.col("end")),
+        }
+    ).drop("step_")
 
 
 def interval_select(df: DataFrame, mask: Column) -> DataFrame:

@@ -394,13 +394,18 @@ def coverage_ranked_split(
     the limit. A recording without pauses is split in shuffled order instead.
     """
     keys = list(keys)
-    active = iv.interval_min_duration(
-        iv.interval_difference(domain, pauses, keys), longer_than
-    )
+    paused = pauses.select(*keys).distinct().withColumn("paused_", F.lit(True))
+
+    def long_enough(pieces: DataFrame) -> DataFrame:
+        length = F.col("end") - F.col("start")
+        return pieces.join(paused, keys, "left").filter(
+            F.col("paused_").isNull() | (length > longer_than)
+        )
+
+    active = long_enough(iv.interval_difference(domain, pauses, keys))
     span = active.groupBy(*keys).agg(F.min("start").alias("start"), F.max("end").alias("end"))
     parts = iv.interval_linspace(span, blocks)
     covered = iv.interval_coverage(parts, active, keys, ["block"])
-    paused = pauses.select(*keys).distinct().withColumn("paused_", F.lit(True))
     covered = covered.join(paused, keys, "left")
     ratio = F.col("covered_us") / (F.col("end") - F.col("start"))
     # parts per million, so that rank order does not hang on the last float digit
@@ -424,7 +429,7 @@ def coverage_ranked_split(
         ),
         [*keys, "split"],
     )
-    return iv.interval_min_duration(pieces, longer_than)
+    return long_enough(pieces).drop("paused_")
 
 
 def half_role_split(df: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str]) -> DataFrame:

@@ -1,14 +1,24 @@
 """Plan shapes shared by the operators: skew-safe ordered scans, halos, sweeps."""
 
-from kymo.plans.ordered import LANE, assign_lanes, exact_median, ordered, with_halo
+from kymo.plans.ordered import (
+    LANE,
+    assign_lanes,
+    attach,
+    exact_median,
+    ordered,
+    spread_range,
+    with_halo,
+)
 from kymo.plans.sweep import coverage_changes, sweep
 
 __all__ = [
     "LANE",
     "assign_lanes",
+    "attach",
     "coverage_changes",
     "exact_median",
     "ordered",
+    "spread_range",
     "sweep",
     "with_halo",
 ]

@@ -282,6 +282,43 @@ def _struct_type(df: DataFrame, columns: Sequence[str]) -> str:
     return df.select(*columns).schema.simpleString()
 
 
+def attach(rows: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join of a one-row-per-``on`` table, by lane where keys were cut.
+
+    The table's row is repeated for each lane of a cut key, so the join spreads
+    exactly as the rows do.
+    """
+    on = list(on)
+    if LANE not in rows.columns or not is_cut(rows):
+        return rows.join(table, on, "left")
+    lanes = rows.filter(F.col(LANE) >= 0).select(*on, LANE).distinct().join(table, on)
+    spread = table.withColumn(LANE, F.lit(-1).cast("bigint")).unionByName(lanes)
+    return rows.join(spread, [*on, LANE], "left")
+
+
+def spread_range(df: DataFrame, keys: Sequence[str], n: Column, out: str) -> DataFrame:
+    """One row per number 0..n-1 of each input row, made in parallel.
+
+    Numbers are produced in blocks that are shuffled before they are unfolded, so
+    one long recording does not become one long array in one task.
+    """
+    last = n.cast("bigint") - 1
+    block = F.lit(LANE_ROWS).cast("bigint")
+    blocks = (
+        df.withColumn("last_", last)
+        .filter(F.col("last_") >= 0)
+        .withColumn(
+            "block_",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("last_") / block))),
+        )
+        .repartition(*keys, "block_")
+    )
+    first = F.col("block_") * block
+    return blocks.withColumn(
+        out, F.explode(F.sequence(first, F.least(first + block - 1, F.col("last_"))))
+    ).drop("last_", "block_")
+
+
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "median"
 ) -> DataFrame:
