@@ -1,6 +1,6 @@
 """All bindings, and the flagship query."""
 
-from kymo.bindings import intervals, series, splits  # noqa: F401
+from kymo.bindings import intervals, manifest, series, splits  # noqa: F401
 from kymo.bindings.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

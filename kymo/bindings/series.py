@@ -60,12 +60,12 @@ def _(t):
 WITH {MIXED}, d AS (SELECT rec, t - lag(t) OVER (PARTITION BY rec ORDER BY pos) AS d FROM m),
 p AS (SELECT *, CAST(sum(d) OVER (PARTITION BY rec) AS DOUBLE) / count(d) OVER (PARTITION BY rec)
     AS p FROM d)
-SELECT rec, round(max(p), 3) AS mean_step,
+SELECT rec, round(max(p) / 1000000, 3) AS mean_step_s,
     bool_and(abs(d - p) <= 10000 + 0.001 * p) AS is_uniform FROM p GROUP BY rec
 """)
 def _(t):
     got = ts.uniformity_check(mixed(t), ["rec"], "t", "pos", ["pos"])
-    return got.withColumn("mean_step", F.round("mean_step", 3))
+    return got.withColumn("mean_step_s", F.round(F.col("mean_step") / SECOND, 3)).drop("mean_step")
 
 
 @query("regular_time_axis", """
