@@ -1,10 +1,17 @@
 """All bindings, and the flagship query."""
 
-from kymo.bindings import intervals, manifest, series, splits  # noqa: F401
+from kymo.bindings import (  # noqa: F401
+    flagship,
+    intervals,
+    manifest,
+    reading,
+    series,
+    splits,
+    trials,
+    units,
+)
 from kymo.bindings.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "flagship"]
+FLAGSHIP = "segment_fold_summary"
 
-
-def flagship(spark, folder):
-    return QUERIES["interval_union"](spark, folder)
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
