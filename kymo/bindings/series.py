@@ -6,7 +6,7 @@ from kymo.bindings.registry import DAY, EVENTS_CTE, HOUR, MINUTE, SECOND, query,
 from kymo.bindings.splits import dbl
 from kymo.functions import signal as sg
 from kymo.operators import series as ts
-from kymo.plans.ordered import attach
+from kymo.plans.lanes import attach, measure
 
 KEYS = ["user_id"]
 OVER = "OVER (PARTITION BY user_id ORDER BY t)"
@@ -71,7 +71,7 @@ def _(t):
 @query("regular_time_axis", """
 SELECT vec_id, label, vec_id * 1000 AS domain_start,
     vec_id * 1000 + len(embedding) * 4000 AS domain_end,
-    CAST(k AS INTEGER) AS k, vec_id * 1000 + k * 4000 AS t_us,
+    CAST(k AS INTEGER) AS sample, vec_id * 1000 + k * 4000 AS t_us,
     CAST(embedding[k + 1] AS DOUBLE) AS v
 FROM embeddings, LATERAL (SELECT unnest(range(len(embedding))) AS k)
 """)
@@ -144,8 +144,9 @@ SELECT event_id, round(vel, 6) AS vel, round(acc, 6) AS acc FROM acc_t
 def _(t):
     rows = ev(t, "event_id", "value").withColumn("day", F.expr(f"t div {DAY}"))
     segment = ["user_id", "day"]
-    vel = ts.gradient(rows, segment, "t", "value", "vel", unit=HOUR)
-    acc = ts.gradient(vel, segment, "t", "vel", "acc", unit=HOUR)
+    cuts = measure(rows, segment, "t")
+    vel = ts.gradient(rows, segment, "t", "value", "vel", unit=HOUR, cuts=cuts)
+    acc = ts.gradient(vel, segment, "t", "vel", "acc", unit=HOUR, cuts=cuts)
     return acc.select("event_id", F.round("vel", 6).alias("vel"), F.round("acc", 6).alias("acc"))
 
 
@@ -379,7 +380,7 @@ WITH {EVENTS_CTE}, d AS (SELECT user_id, min(t) AS t0, max(t) AS tn FROM e GROUP
 g AS (SELECT user_id, t0, unnest(range(CAST(ceil((tn - t0) / {dbl(float(6 * HOUR))}) AS BIGINT)))
     AS k FROM d),
 n AS (SELECT user_id, t, value, lead(t) {OVER} AS nt, lead(value) {OVER} AS nv FROM e)
-SELECT g.user_id, g.k, t0 + g.k * {6 * HOUR} AS t_us, round(CASE WHEN n.t = t0 + g.k * {6 * HOUR}
+SELECT g.user_id, g.k AS idx, t0 + g.k * {6 * HOUR} AS t_us, round(CASE WHEN n.t = t0 + g.k * {6 * HOUR}
     THEN n.value ELSE n.value + (n.nv - n.value) / (n.nt - n.t) * (t0 + g.k * {6 * HOUR} - n.t) END,
     6) AS value
 FROM g ASOF JOIN n ON n.user_id = g.user_id AND n.t <= t0 + g.k * {6 * HOUR}
@@ -474,7 +475,7 @@ CHANNELS = [f"ch{i}" for i in range(8)]
 @query("signal_wide_long", """
 WITH v AS (SELECT vec_id // 8 AS rec, 'ch' || (vec_id % 8) AS channel,
     unnest(range(len(embedding))) AS k, unnest(embedding) AS v FROM embeddings)
-SELECT rec, CAST(k AS INTEGER) AS k, channel, CAST(v AS DOUBLE) AS v,
+SELECT rec, CAST(k AS INTEGER) AS sample, channel, CAST(v AS DOUBLE) AS v,
     round(sum(CAST(v AS DOUBLE)) OVER (PARTITION BY rec, k), 6) AS row_sum
 FROM v WHERE channel <> 'ch7'
 """)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from kymo.bindings.registry import DAY, EVENTS_CTE, HOUR, MINUTE, SECOND, query, sweep_cte
 from kymo.bindings.series import FRAMES, LINE_ORDER, ev, stimuli
 from kymo.operators import trials as tr
-from kymo.plans.ordered import attach
+from kymo.plans.lanes import attach
 
 
 def us(df):

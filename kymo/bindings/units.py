@@ -99,7 +99,7 @@ def _(t):
 
 
 @query("average_waveform", f"""
-WITH {VECTORS} SELECT label, CAST(k AS INTEGER) AS k, round(avg(CAST(x AS DOUBLE)), 6) AS v
+WITH {VECTORS} SELECT label, CAST(k AS INTEGER) AS sample, round(avg(CAST(x AS DOUBLE)), 6) AS v
 FROM v WHERE k < 48 GROUP BY label, k
 """)
 def _(t):

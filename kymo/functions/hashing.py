@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 HASH_STEPS = 10_000
 TRAIN, VALID, TEST = "train", "valid", "test"
 
+# Range of digest_position.
+DIGEST_RANGE = (0, (1 << 32) - 1)
+
 
 def string_hash_mod(text: Column, n: int) -> Column:
     """MD5 of the text, read as one hexadecimal integer, modulo ``n``.
 
-    The digest exceeds decimal(38), so the modulus runs over 32-bit chunks.
+    The digest exceeds decimal(38), so the modulus runs over chunks of at most
+    fifteen digits, which fit a bigint.
     """
     digest = F.md5(text)
     rest = F.lit(0).cast("bigint")
-    for first in (1, 9, 17, 25):
-        chunk = F.conv(F.substring(digest, first, 8), 16, 10).cast("bigint")
-        rest = (rest * F.lit(1 << 32) + chunk) % F.lit(n)
+    for first, digits in ((1, 15), (16, 15), (31, 2)):
+        chunk = F.conv(F.substring(digest, first, digits), 16, 10).cast("bigint")
+        shift = F.lit(16**digits % n).cast("bigint")
+        rest = (rest * shift + chunk % F.lit(n)) % F.lit(n)
     return rest
 
 

@@ -65,7 +65,7 @@ def recording_url(root: str, dataset: str, path: Column, recording_id: Column) -
 
 
 def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def file_stem(path: Column) -> Column:
@@ -79,7 +79,8 @@ def extension(path: Column) -> Column:
 
 def datatype(path: Column) -> Column:
     """Name of the folder a file lies in."""
-    return F.regexp_extract(path, "([^/]+)/[^/]+$", 1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(path.contains("/"), folder).otherwise("")
 
 
 def entity(path: Column, short: str) -> Column:

@@ -13,26 +13,40 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymo.plans.ordered import ordered, spread_range
+from kymo.plans.lanes import Cuts, measure, ordered, spread_range
 from kymo.plans.sweep import sweep
 
 
-def interval_union(a: DataFrame, b: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+def measure_times(frames: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> Cuts:
+    """Cuts for all of several frames together, each with its time column."""
+    stacked = reduce(
+        DataFrame.unionByName, [df.select(*keys, F.col(t).alias("t_")) for df, t in frames]
+    )
+    return measure(stacked, keys, "t_")
+
+
+def interval_union(
+    a: DataFrame, b: DataFrame | None, keys: Sequence[str], cuts: Cuts | None = None
+) -> DataFrame:
     """Coverage of ``a`` or ``b``; with one argument, the merged form of ``a``."""
     both = a if b is None else a.select(*keys, "start", "end").unionByName(
         b.select(*keys, "start", "end")
     )
-    return sweep(both, None, keys, lambda x, _: x > 0)
+    return sweep(both, None, keys, lambda x, _: x > 0, cuts)
 
 
-def interval_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def interval_intersection(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], cuts: Cuts | None = None
+) -> DataFrame:
     """Coverage of ``a`` and ``b``."""
-    return sweep(a, b, keys, lambda x, y: (x > 0) & (y > 0))
+    return sweep(a, b, keys, lambda x, y: (x > 0) & (y > 0), cuts)
 
 
-def interval_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def interval_difference(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], cuts: Cuts | None = None
+) -> DataFrame:
     """Coverage of ``a`` without ``b``."""
-    return sweep(a, b, keys, lambda x, y: (x > 0) & (y == 0))
+    return sweep(a, b, keys, lambda x, y: (x > 0) & (y == 0), cuts)
 
 
 def interval_dilate(a: DataFrame, keys: Sequence[str], by: int) -> DataFrame:
@@ -121,7 +135,11 @@ def interval_linspace(df: DataFrame, n: int, number: str = "block") -> DataFrame
 
 
 def interval_stab(
-    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str = "t"
+    points: DataFrame,
+    intervals: DataFrame,
+    keys: Sequence[str],
+    at: str = "t",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """The interval holding each point: ``start <= t < end``, smallest start first.
 
@@ -131,12 +149,13 @@ def interval_stab(
     one ordered scan instead of a range join.
     """
     keys = list(keys)
+    cuts = measure_times([(points, at), (intervals, "end")], keys) if cuts is None else cuts
     spans = (
         intervals.filter(F.col("end") > F.col("start"))
         .groupBy(*keys, "start")
         .agg(F.max("end").alias("end"))
     )
-    spans = ordered(spans, keys, "start", earlier_max={"reach_": "end"}).filter(
+    spans = ordered(spans, keys, "start", earlier_max={"reach_": "end"}, cuts=cuts).filter(
         F.col("reach_").isNull() | (F.col("end") > F.col("reach_"))
     )
     data = [c for c in points.columns if c not in keys]
@@ -156,7 +175,7 @@ def interval_stab(
         allowMissingColumns=True,
     )
     scanned = ordered(
-        marks, keys, "at_", ["at_", "is_point_"], next_known={"next_": "span_"}
+        marks, keys, "at_", ["at_", "is_point_"], next_known={"next_": "span_"}, cuts=cuts
     ).filter("is_point_ = 1")
     holds = F.col("next_.start") <= F.col("at_")
     return scanned.select(
@@ -177,6 +196,7 @@ def covered_points(
 ) -> DataFrame:
     """Flag the points that lie in any interval (``closed``: the end counts too)."""
     keys = list(keys)
+    cuts = measure_times([(points, at), (intervals, "start")], keys)
     data = [c for c in points.columns if c not in keys]
     edge = F.explode(
         F.array(
@@ -202,7 +222,7 @@ def covered_points(
         F.struct(*data).alias("row_"),
     ).unionByName(edges, allowMissingColumns=True)
     return (
-        ordered(marks, keys, "at_", ["at_", "kind_"], sums={"cover_": "step_"})
+        ordered(marks, keys, "at_", ["at_", "kind_"], sums={"cover_": "step_"}, cuts=cuts)
         .filter("kind_ = 1")
         .select(*keys, "row_.*", (F.col("cover_") > 0).alias(out))
     )
@@ -214,6 +234,7 @@ def interval_coverage(
     keys: Sequence[str],
     ids: Sequence[str],
     out: str = "covered_us",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Covered time of each block (``ids`` name a block within its recording).
 
@@ -221,7 +242,9 @@ def interval_coverage(
     so a block needs two readings of one running sum and no join with the domain.
     """
     keys, ids = list(keys), list(ids)
-    pieces = interval_union(domain, None, keys)
+    if cuts is None:
+        cuts = measure_times([(blocks, "start"), (domain, "start")], keys)
+    pieces = interval_union(domain, None, keys, cuts)
     wide = "decimal(20,0)"
     readings = blocks.select(
         *keys,
@@ -262,6 +285,7 @@ def interval_coverage(
         "t",
         ["t", "sign_"],
         sums={"inside_": "open_", "passed_sum_": "passed_"},
+        cuts=cuts,
     ).filter("sign_ <> 0")
     upto = F.col("passed_sum_") + (F.col("inside_") * F.col("t")).cast(wide)
     return (

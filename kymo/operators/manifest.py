@@ -13,38 +13,48 @@ from kymo.functions import paths as ph
 
 def bids_parse(df: DataFrame, path: str) -> DataFrame:
     """Entities, data type, extension and rebuilt recording id of a path."""
-    p = F.col(path)
-    return df.withColumns(
-        {
-            "recording_id": ph.recording_id(p),
-            "subject_id": F.concat(F.lit("sub-"), ph.entity(p, "sub")),
-            "session_id": F.concat(F.lit("ses-"), ph.entity(p, "ses")),
-            "task_id": ph.entity(p, "task"),
-            "acquisition_id": ph.entity(p, "acq"),
-            "run_id": ph.entity(p, "run"),
-            "description_id": ph.entity(p, "desc"),
-            "datatype": ph.datatype(p),
-            "extension": ph.extension(p),
-        }
+    # the name is cut once and every entity found once; later columns refer to them
+    found = df.withColumn("name_", ph.file_name(F.col(path))).withColumns(
+        {f"{short}_": ph.entity(F.col("name_"), short) for short in ph.ENTITIES.values()}
+    )
+    tagged = {s: F.concat(F.lit(f"{s}-"), F.col(f"{s}_")) for s in ph.ENTITIES.values()}
+    return found.select(
+        *df.columns,
+        F.concat_ws("_", *tagged.values()).alias("recording_id"),
+        tagged["sub"].alias("subject_id"),
+        tagged["ses"].alias("session_id"),
+        F.col("task_").alias("task_id"),
+        F.col("acq_").alias("acquisition_id"),
+        F.col("run_").alias("run_id"),
+        F.col("desc_").alias("description_id"),
+        ph.datatype(F.col(path)).alias("datatype"),
+        ph.extension(F.col("name_")).alias("extension"),
     )
 
 
+def accepted_files(
+    df: DataFrame, path: str, kind: str, extensions: Sequence[str]
+) -> DataFrame:
+    """Files in a folder of the kind, with an accepted extension."""
+    p = F.col(path)
+    return df.filter(ph.extension(p).isin(list(extensions)) & (ph.datatype(p) == kind))
+
+
 def fetch_recordings(
     df: DataFrame, path: str, pos: str, kind: str, extensions: Sequence[str]
 ) -> DataFrame:
     """Files of one kind, the first in input order for each recording id.
 
-    The first row is an aggregate, so copies are combined before the shuffle.
+    The first row is an aggregate over (position, path), so copies are combined
+    before the shuffle; the other fields are parsed from the paths that remain.
     """
-    parsed = bids_parse(df.select(pos, path), path).filter(
-        F.col("extension").isin(list(extensions)) & (F.col("datatype") == kind)
-    )
-    rest = [c for c in parsed.columns if c not in ("recording_id",)]
-    return (
-        parsed.groupBy("recording_id")
-        .agg(F.min_by(F.struct(*rest), pos).alias("first_"))
-        .select("recording_id", "first_.*")
+    kept = accepted_files(df.select(pos, path), path, kind, extensions)
+    first = (
+        kept.groupBy(ph.recording_id(F.col(path)).alias("recording_id"))
+        .agg(F.min(F.struct(pos, path)).alias("first_"))
+        .select("first_.*")
     )
+    return bids_parse(first, path)
 
 
 def fetch_eeg_recordings(df: DataFrame, path: str, pos: str) -> DataFrame:
@@ -78,14 +88,15 @@ def recording_files_exist(
     Every leading run of a file name's tokens is a possible id, so the prefix match
     is an equi-join.
     """
-    p = F.col(path)
-    tokens = F.split(ph.file_name(p), "_")
+    p, tokens = F.col(path), F.col("tokens_")
     heads = F.transform(
         F.sequence(F.lit(1), F.size(tokens) - 1),
         lambda n: F.array_join(F.slice(tokens, F.lit(1), n), "_"),
     )
     known = (
-        files.filter(ph.extension(p).isin(list(extensions)) & (F.size(tokens) > 1))
+        files.filter(ph.extension(p).isin(list(extensions)))
+        .select(path, F.split(ph.file_name(p), "_").alias("tokens_"))
+        .filter(F.size(tokens) > 1)
         .select(
             F.regexp_extract(p, "(?:^|/)(sub-[^/]+)/", 1).alias(subject),
             F.explode(heads).alias(ident),
@@ -124,9 +135,14 @@ def build_manifest(
     dataset: str,
     tag: str,
 ) -> DataFrame:
-    """Catalog, parse, filter, first per id, address, subject facts, constants."""
-    fetch = {"eeg": fetch_eeg_recordings, "ieeg": fetch_ieeg_recordings}[kind]
-    found = fetch(files, path, pos)
+    """Catalog, parse, filter, first per id, address, subject facts, constants.
+
+    No file of the kind at all is an error, found by reading until the first one.
+    """
+    extensions = {"eeg": ph.EEG_EXTENSIONS, "ieeg": ph.IEEG_EXTENSIONS}[kind]
+    if accepted_files(files, path, kind, extensions).isEmpty():
+        raise ValueError(f"no {kind} recordings found")
+    found = fetch_recordings(files, path, pos, kind, extensions)
     placed = found.select(
         "recording_id",
         "subject_id",
@@ -137,13 +153,6 @@ def build_manifest(
     return subject_info(placed, participants)
 
 
-def require_rows(manifest: DataFrame, what: str) -> DataFrame:
-    """The manifest, or an error when it is empty."""
-    if manifest.isEmpty():
-        raise ValueError(f"no {what} recordings found")
-    return manifest
-
-
 # --- ids from the path layouts of single datasets ----------------------------
 
 

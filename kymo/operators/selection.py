@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kymo.functions.hashing import TEST, TRAIN, VALID, hash_three_way
-from kymo.operators.intervals import interval_intersection
+from kymo.operators.intervals import interval_intersection, measure_times
 from kymo.operators.splits import causal_ratio_split
 
 # Accepted names of the parts; ``val`` is read as ``valid``.
@@ -43,8 +43,9 @@ def sampling_intervals_joint(
 ) -> DataFrame:
     """Same, where every other series (behaviour, spikes) is present too."""
     found = sampling_intervals(domains, splits, keys, split)
+    cuts = measure_times([(df, "start") for df in (found, *others)], keys)
     for other in others:
-        found = interval_intersection(found, other.select(*keys, "start", "end"), keys)
+        found = interval_intersection(found, other.select(*keys, "start", "end"), keys, cuts)
     return found
 
 

@@ -15,12 +15,16 @@ from pyspark.sql.window import Window
 
 from kymo.functions.signal import any_nan, band_pass, convolve, high_pass
 from kymo.operators.intervals import covered_points
-from kymo.plans.ordered import (
+from kymo.plans.lanes import (
     LANE,
+    LANE_ROWS,
+    Cuts,
     assign_lanes,
     attach,
+    cuts_from,
     exact_median,
     is_cut,
+    measure,
     ordered,
     spread_range,
     with_halo,
@@ -29,8 +33,10 @@ from kymo.plans.ordered import (
 SECOND = 1_000_000
 
 
-def _steps(df: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str], t: str) -> DataFrame:
-    return ordered(df, keys, pos, order, prev={"prev_t_": t}).withColumn(
+def _steps(
+    df: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str], t: str, cuts: Cuts
+) -> DataFrame:
+    return ordered(df, keys, pos, order, prev={"prev_t_": t}, cuts=cuts).withColumn(
         "step_", F.col(t) - F.col("prev_t_")
     )
 
@@ -48,13 +54,14 @@ def sampling_rate(
     Status: ``too_few`` samples, ``not_increasing``, ``irregular`` (spread of the
     steps beyond ``rtol`` of the median), ``ok``.
     """
-    steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t)
+    cuts = measure(df, keys, pos)
+    steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t, cuts)
     stats = steps.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.min("step_").alias("least_"),
         F.max("step_").alias("most_"),
     )
-    medians = exact_median(steps, keys, "step_", "median_")
+    medians = exact_median(steps, keys, "step_", "median_", cuts)
     status = (
         F.when(F.col("n_samples") < 2, "too_few")
         .when(F.col("least_") <= 0, "not_increasing")
@@ -83,7 +90,8 @@ def uniformity_check(
 
     The extremes decide for all steps, so one aggregate over them is enough.
     """
-    steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t)
+    cuts = measure(df, keys, pos)
+    steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t, cuts)
     stats = steps.groupBy(*keys).agg(
         F.min("step_").alias("least_"),
         F.max("step_").alias("most_"),
@@ -101,12 +109,12 @@ def regular_time_axis(
     """Sample k of a regular series at start + k/rate; domain end at start + n/rate."""
     others = [c for c in df.columns if c != samples]
     period = SECOND / rate
-    k = F.col("k")
+    k = F.col("sample")
     return df.select(
         *others,
         start.alias("domain_start"),
         (start + F.floor(F.size(samples) * F.lit(period)).cast("bigint")).alias("domain_end"),
-        F.posexplode(samples).alias("k", out),
+        F.posexplode(samples).alias("sample", out),
     ).withColumn("t", F.col("domain_start") + F.floor(k * F.lit(period)).cast("bigint"))
 
 
@@ -135,11 +143,12 @@ def segment_by_median_gap(
 ) -> DataFrame:
     """Split where a step exceeds twice the median; segments end one median later."""
     keys = list(keys)
-    laned = assign_lanes(df.select(*keys, t), keys, t)
+    cuts = measure(df, keys, t)
+    laned = assign_lanes(df.select(*keys, t), keys, t, cuts)
     steps = ordered(laned, keys, t, prev={"prev_t_": t}).withColumn(
         "step_", F.col(t) - F.col("prev_t_")
     )
-    medians = exact_median(steps, keys, "step_", "median_")
+    medians = exact_median(steps, keys, "step_", "median_", cuts)
     flagged = attach(steps, medians, keys).withColumn(
         "new_", F.coalesce(F.col("step_") > F.lit(factor) * F.col("median_"), F.lit(False))
     )
@@ -170,6 +179,7 @@ def gradient(
     out: str,
     order: Sequence[str] | None = None,
     unit: float = SECOND,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """First derivative on uneven steps: second order inside, one-sided at the ends.
 
@@ -183,6 +193,7 @@ def gradient(
         order,
         prev={"pt_": t, "pv_": value},
         following={"nt_": t, "nv_": value},
+        cuts=cuts,
     )
     behind = (F.col(t) - F.col("pt_")) / F.lit(float(unit))
     ahead = (F.col("nt_") - F.col(t)) / F.lit(float(unit))
@@ -322,7 +333,8 @@ def restitch_blocks(
 ) -> DataFrame:
     """Shift block i to start ``gap`` after the shifted end of block i-1."""
     keys = list(keys)
-    laned = assign_lanes(df, keys, pos)
+    cuts = measure(df, keys, pos)
+    laned = assign_lanes(df, keys, pos, cuts)
     blocks = clock_resets(laned, keys, pos, order, t)
     at = F.struct(*order)
     spans = blocks.groupBy(*keys, "block").agg(
@@ -335,6 +347,7 @@ def restitch_blocks(
         "block",
         sums={"upto_": "room_"},
         last_known={"origin_": F.when(F.col("block") == 0, F.col("first_"))},
+        cuts=cuts.along(0, LANE_ROWS),
     )
     shift = F.col("origin_") + F.col("upto_") - F.col("room_") - F.col("first_")
     shifts = placed.select(*keys, "block", shift.alias("shift_"))
@@ -421,10 +434,14 @@ def resample_linear(
     """
     keys = list(keys)
     samples = df.select(*keys, F.col(t).alias("t"), F.col(value).alias("v_"))
-    spans = samples.groupBy(*keys).agg(F.min("t").alias("t0_"), F.max("t").alias("tn_"))
+    spans = samples.groupBy(*keys).agg(
+        F.min("t").alias("t0_"), F.max("t").alias("tn_"), F.count(F.lit(1)).alias("n_")
+    )
     n = F.ceil((F.col("tn_") - F.col("t0_")) / F.lit(step))
-    grid = spread_range(spans, keys, n, "k").select(
-        *keys, "k", (F.col("t0_") + F.col("k") * step).alias("t"), F.lit(1).alias("is_grid_")
+    rows = spans.withColumn("rows_", F.col("n_") + n)
+    cuts = cuts_from(rows, keys, "rows_", "t0_", "tn_")
+    grid = spread_range(spans, keys, n, "idx").select(
+        *keys, "idx", (F.col("t0_") + F.col("idx") * step).alias("t"), F.lit(1).alias("is_grid_")
     )
     marks = samples.select(
         *keys, "t", F.lit(0).alias("is_grid_"), F.struct("t", F.col("v_").alias("v")).alias("s_")
@@ -436,12 +453,13 @@ def resample_linear(
         ["t", "is_grid_"],
         last_known={"a_": "s_"},
         next_known={"b_": "s_"},
+        cuts=cuts,
     ).filter("is_grid_ = 1")
     slope = (F.col("b_.v") - F.col("a_.v")) / (F.col("b_.t") - F.col("a_.t"))
     between = F.col("a_.v") + slope * (F.col("t") - F.col("a_.t"))
     return seen.select(
         *keys,
-        "k",
+        "idx",
         "t",
         F.when(F.col("a_.t") == F.col("t"), F.col("a_.v")).otherwise(between).alias(value),
     )
@@ -495,7 +513,8 @@ def band_power(
     bands = dict(BANDS if bands is None else bands)
     keys = list(keys)
     per_slot = rate // BAND_RATE
-    numbered = ordered(df.select(*keys, t, value), keys, t, number="rn_")
+    laned = assign_lanes(df.select(*keys, t, value), keys, t)
+    numbered = ordered(laned, keys, t, number="rn_")
     near = with_halo(numbered, keys, "rn_", ["rn_"], 2 * half, 2 * half)
     along = _frame(near, keys, ["rn_"])
     first = {"lmp": convolve(F.col(value), along, band_pass(*LMP_BAND, rate, half))}
@@ -570,16 +589,16 @@ def signal_wide(
     """Channel-major arrays to sample-major rows, one column per kept channel."""
     kept = [c for c in channels if c not in set(ignore)]
     long = df.filter(F.col(channel).isin(kept)).select(
-        *keys, channel, F.posexplode(samples).alias("k", "v_")
+        *keys, channel, F.posexplode(samples).alias("sample", "v_")
     )
-    return long.groupBy(*keys, "k").pivot(channel, kept).agg(F.max("v_"))
+    return long.groupBy(*keys, "sample").pivot(channel, kept).agg(F.max("v_"))
 
 
 def signal_long(
     df: DataFrame, keys: Sequence[str], channels: Sequence[str], value: str = "v"
 ) -> DataFrame:
     """Sample-major rows back to one row per sample and channel."""
-    return df.unpivot([*keys, "k"], list(channels), "channel", value)
+    return df.unpivot([*keys, "sample"], list(channels), "channel", value)
 
 
 def concat_recordings(
@@ -603,8 +622,20 @@ def concat_recordings(
         F.bool_or(F.col(started).isNull()).alias("missing_date"),
         (F.min(day) != F.max(day)).alias("days_"),
         (F.min(channels) != F.max(channels)).alias("channel_mismatch"),
+        F.count(F.lit(1)).alias("n_"),
+        *[f(c).alias(a) for f, c, a in (
+            (F.min, started, "t0_"), (F.max, started, "tn_"), (F.min, pos, "p0_"), (F.max, pos, "pn_")
+        )],
+    )
+    ranged = facts.withColumns(
+        {
+            "lo_": F.when(F.col("missing_date"), F.col("p0_")).otherwise(F.col("t0_")),
+            "hi_": F.when(F.col("missing_date"), F.col("pn_")).otherwise(F.col("tn_")),
+        }
     )
-    laned = assign_lanes(parts, keys, pos)
+    cuts = cuts_from(ranged, keys, "n_", "lo_", "hi_")
+    facts = facts.drop("n_", "t0_", "tn_", "p0_", "pn_")
+    laned = assign_lanes(parts, keys, pos, cuts)
     known = attach(laned, facts, keys).drop(LANE)
     known = known.withColumn(
         "at_", F.when(F.col("missing_date"), F.col(pos)).otherwise(F.col(started))
@@ -617,6 +648,7 @@ def concat_recordings(
         ["at_", pos],
         prev={"prev_end_": F.col(started) + length},
         sums={"upto_": n_samples},
+        cuts=cuts,
     )
     gap = F.when(~F.col("missing_date"), F.col(started) - F.col("prev_end_"))
     return placed.select(

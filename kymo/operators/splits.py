@@ -16,13 +16,14 @@ from kymo.functions.hashing import (
     TEST,
     TRAIN,
     VALID,
+    DIGEST_RANGE,
     digest_position,
     hash_three_way,
     shuffle_digest,
     string_kfold,
 )
 from kymo.operators import intervals as iv
-from kymo.plans.ordered import ordered
+from kymo.plans.lanes import Cuts, measure, no_cuts, ordered
 
 
 def shuffled_rank(
@@ -32,6 +33,7 @@ def shuffled_rank(
     seed: int | str | Column = 42,
     rank: str = "rank",
     total: str = "total",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Rank from 1 in shuffled order within the keys, and the size of the group."""
     if isinstance(seed, Column):
@@ -41,6 +43,8 @@ def shuffled_rank(
     marked = df.withColumn("digest_", digest).withColumns(
         {"at_": digest_position(F.col("digest_")), "ident_": ident}
     )
+    if cuts is None:
+        cuts = measure_groups(df, keys)
     return ordered(
         marked,
         keys,
@@ -48,9 +52,17 @@ def shuffled_rank(
         ["at_", "digest_", "ident_"],
         number=rank,
         totals={total: F.lit(1)},
+        cuts=cuts,
     ).drop("at_", "digest_", "ident_")
 
 
+def measure_groups(df: DataFrame, keys: Sequence[str]) -> Cuts:
+    """Cuts for shuffled ranks: digests spread evenly over their known range."""
+    if not keys:
+        df, keys = df.withColumn("all_", F.lit(0)), ["all_"]
+    return measure(df, keys, "", bounds=DIGEST_RANGE)
+
+
 def _half_up(x: Column) -> Column:
     return F.floor(x + F.lit(0.5))
 
@@ -109,7 +121,8 @@ def stratified_folds(
     fold; in the other folds the rest of the class is shuffled again and its leading
     share is valid.
     """
-    placed = shuffled_rank(df, [*keys, label], F.col(ident), seed, "rank_", "total_")
+    cuts = measure_groups(df, [*keys, label])
+    placed = shuffled_rank(df, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
     each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
     home = ((F.col("rank_") - 1) % n_folds).cast("int") == F.col("fold")
     each = each.withColumn("home_", home).drop("rank_", "total_")
@@ -120,6 +133,7 @@ def stratified_folds(
         F.col("fold") + F.lit(seed),
         "rank_",
         "total_",
+        cuts.refined(fold=range(n_folds), home_=(True, False)),
     )
     share = _half_up(F.col("total_") * F.lit(val_ratio))
     split = F.when(F.col("home_"), TEST).when(F.col("rank_") <= share, VALID).otherwise(TRAIN)
@@ -161,21 +175,27 @@ def sleep_splits(
     Stages are cut into epochs, unknown and rare stages dropped, the rest folded by
     stage; the string folds of the subject and of subject_session ride along.
     """
-    epochs = iv.interval_subdivide(stages, epoch)
+    person = F.col(subject).cast("string")
+    both = F.concat_ws("_", person, F.col(session).cast("string"))
+    named = stages.withColumns(
+        {
+            "person_parts_": string_kfold(person, n_folds, val_ratio, seed),
+            "both_parts_": string_kfold(both, n_folds, val_ratio, seed),
+        }
+    )
+    epochs = iv.interval_subdivide(named, epoch)
     epochs = rare_class_filter(epochs, [recording], label, n_folds, unknown)
     epochs = epochs.withColumn(
         "epoch_", F.concat_ws("_", F.col(ident).cast("string"), F.col("start").cast("string"))
     )
     folds = stratified_folds(epochs, [recording], label, "epoch_", n_folds, val_ratio, seed)
-    person = F.col(subject).cast("string")
-    both = F.concat_ws("_", person, F.col(session).cast("string"))
     at = F.col("fold") + 1
     return folds.withColumns(
         {
-            "intersubject": F.element_at(string_kfold(person, n_folds, val_ratio, seed), at),
-            "intersession": F.element_at(string_kfold(both, n_folds, val_ratio, seed), at),
+            "intersubject": F.element_at("person_parts_", at),
+            "intersession": F.element_at("both_parts_", at),
         }
-    ).drop("epoch_")
+    ).drop("epoch_", "person_parts_", "both_parts_")
 
 
 def interval_split_shuffled(
@@ -207,14 +227,20 @@ def two_stage_trial_split(
     seed: int = 42,
 ) -> DataFrame:
     """Hold out test first (rounded up), then valid from what is left (rounded up)."""
-    first = shuffled_rank(df, keys, F.col(ident), seed, "rank_", "total_")
+    whole = df if keys else df.withColumn("all_", F.lit(0))
+    keys = list(keys) or ["all_"]
+    cuts = measure_groups(whole, keys)
+    first = shuffled_rank(whole, keys, F.col(ident), seed, "rank_", "total_", cuts)
     held = F.ceil(F.col("total_") * F.lit(test_size))
     first = first.withColumn("held_", F.col("rank_") <= held).drop("rank_", "total_")
-    second = shuffled_rank(first, [*keys, "held_"], F.col(ident), f"{seed}b", "rank_", "total_")
+    cuts = cuts.refined(held_=(True, False))
+    second = shuffled_rank(
+        first, [*keys, "held_"], F.col(ident), f"{seed}b", "rank_", "total_", cuts
+    )
     train_size = 1.0 - test_size - valid_size
     share = F.ceil(F.col("total_") * F.lit(valid_size / (train_size + valid_size)))
     split = F.when(F.col("held_"), TEST).when(F.col("rank_") <= share, VALID).otherwise(TRAIN)
-    return second.withColumn("split", split).drop("rank_", "total_", "held_")
+    return second.withColumn("split", split).drop("rank_", "total_", "held_", "all_")
 
 
 def train_is_rest_dilated(
@@ -261,10 +287,15 @@ def predefined_split(
 
 
 def snap_to_grid(
-    points: DataFrame, grid: DataFrame, keys: Sequence[str], at: str = "t", out: str = "snapped"
+    points: DataFrame,
+    grid: DataFrame,
+    keys: Sequence[str],
+    at: str = "t",
+    out: str = "snapped",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Move a time inside a grid interval to its nearer edge, the start on a tie."""
-    hit = iv.interval_stab(points, grid, keys, at)
+    hit = iv.interval_stab(points, grid, keys, at, cuts)
     nearer_end = F.col(at) - F.col("hit_start") > F.col("hit_end") - F.col(at)
     moved = F.when(nearer_end, F.col("hit_end")).otherwise(F.col("hit_start"))
     return hit.withColumn(
@@ -294,6 +325,7 @@ def epoch_split(
     most two cut times per group are snapped, and pieces follow by case.
     """
     keys, grid_keys = list(keys), list(grid_keys)
+    cuts = iv.measure_times([(epochs, "start"), (grid, "start")], grid_keys)
     placed = ordered(
         epochs.select(*keys, "start", "end"),
         keys,
@@ -326,7 +358,7 @@ def epoch_split(
         ).alias("p_"),
     ).select(*keys, "i_", "p_.*").filter(F.col("t").isNotNull())
     cuts = (
-        snap_to_grid(points, grid, grid_keys)
+        snap_to_grid(points, grid, grid_keys, cuts=cuts)
         .groupBy(*keys, "i_")
         .agg(
             F.max(F.when(F.col("which_") == 1, F.col("snapped"))).alias("cut_one_"),
@@ -376,7 +408,8 @@ def epoch_split_dispatch(
     """Split all stimuli of a recording and unite the parts over stimuli."""
     kept = epochs.filter(~F.col(stimulus).isin(list(skip)))
     pieces = epoch_split(kept, grid, [*recording, stimulus], recording)
-    return iv.interval_union(pieces, None, [*recording, "split"])
+    cuts = measure(kept, recording, "start").refined(split=(TRAIN, VALID, TEST))
+    return iv.interval_union(pieces, None, [*recording, "split"], cuts)
 
 
 def coverage_ranked_split(
@@ -402,10 +435,11 @@ def coverage_ranked_split(
             F.col("paused_").isNull() | (length > longer_than)
         )
 
-    active = long_enough(iv.interval_difference(domain, pauses, keys))
+    cuts = iv.measure_times([(domain, "start"), (pauses, "start")], keys)
+    active = long_enough(iv.interval_difference(domain, pauses, keys, cuts))
     span = active.groupBy(*keys).agg(F.min("start").alias("start"), F.max("end").alias("end"))
     parts = iv.interval_linspace(span, blocks)
-    covered = iv.interval_coverage(parts, active, keys, ["block"])
+    covered = iv.interval_coverage(parts, active, keys, ["block"], cuts=cuts)
     covered = covered.join(paused, keys, "left")
     ratio = F.col("covered_us") / (F.col("end") - F.col("start"))
     # parts per million, so that rank order does not hang on the last float digit
@@ -418,16 +452,19 @@ def coverage_ranked_split(
         ["share_", "tie_", "block"],
         number="rank_",
         totals={"total_": F.lit(1)},
+        cuts=no_cuts(keys),
     )
     tagged = ranked.withColumn("split", part_by_rank(F.col("rank_"), F.col("total_"), (8, 1, 1)))
     pieces = iv.interval_difference(
         tagged.select(*keys, "split", "start", "end"),
-        pauses.select(*keys, "start", "end").crossJoin(
-            F.broadcast(
-                domain.sparkSession.createDataFrame([(TRAIN,), (VALID,), (TEST,)], "split string")
-            )
+        pauses.select(
+            *keys,
+            "start",
+            "end",
+            F.explode(F.array(*map(F.lit, (TRAIN, VALID, TEST)))).alias("split"),
         ),
         [*keys, "split"],
+        cuts.refined(split=(TRAIN, VALID, TEST)),
     )
     return long_enough(pieces).drop("paused_")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kymo.operators.intervals import interval_difference
 from kymo.operators.series import frame_to_time
-from kymo.plans.ordered import ordered
+from kymo.plans.lanes import ordered
 
 SECOND = 1_000_000
 
@@ -291,8 +291,8 @@ def trial_series_concat(
     ).select(*keys, trial, (F.col("upto_") - F.col("n_")).alias("offset_"))
     return (
         sized.join(placed, [*keys, trial])
-        .select(*keys, trial, "offset_", F.posexplode(samples).alias("k", out))
-        .select(*keys, trial, (F.col("offset_") + F.col("k")).alias("idx"), out)
+        .select(*keys, trial, "offset_", F.posexplode(samples).alias("at_", out))
+        .select(*keys, trial, (F.col("offset_") + F.col("at_")).alias("idx"), out)
     )
 
 

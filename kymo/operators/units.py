@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymo.plans.ordered import ordered
+from kymo.plans.lanes import Cuts, measure, ordered
 
 # Waveform points kept, and the order of recorded regions.
 WAVEFORM_POINTS = 48
@@ -67,10 +67,15 @@ def duplicate_names(units: DataFrame, keys: Sequence[str], name: str) -> DataFra
 
 
 def dense_unit_index(
-    units: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str], out: str = "unit_index"
+    units: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    order: Sequence[str],
+    out: str = "unit_index",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Retained units numbered 0..n-1 in source order, regions in their fixed order."""
-    numbered = ordered(units, keys, pos, order, number=out)
+    numbered = ordered(units, keys, pos, order, number=out, cuts=cuts)
     return numbered.withColumn(out, F.col(out) - 1)
 
 
@@ -108,8 +113,8 @@ def average_waveform(
 ) -> DataFrame:
     """Mean of every waveform point over a unit's spikes, leading points only."""
     return (
-        waveforms.select(*keys, F.posexplode(F.slice(samples, 1, points)).alias("k", "v"))
-        .groupBy(*keys, "k")
+        waveforms.select(*keys, F.posexplode(F.slice(samples, 1, points)).alias("sample", "v"))
+        .groupBy(*keys, "sample")
         .agg(F.avg(F.col("v").cast("double")).alias("v"))
     )
 
@@ -261,12 +266,17 @@ def resolve_positions(
 
 
 def invert_type_map(types: DataFrame, pos: str, kind: str, channels: str) -> DataFrame:
-    """Type with its channels to channel with its type; a later type wins."""
-    return (
-        types.select(pos, kind, F.explode(channels).alias("channel"))
+    """Type with its channels to channel with its type; a later type wins.
+
+    Only positions are compared over the exploded lists; the type is looked up for
+    the one position left per channel.
+    """
+    latest = (
+        types.select(pos, F.explode(channels).alias("channel"))
         .groupBy("channel")
-        .agg(F.max_by(kind, pos).alias("type"))
+        .agg(F.max(pos).alias(pos))
     )
+    return latest.join(types.select(pos, F.col(kind).alias("type")), pos).select("channel", "type")
 
 
 def per_recording_map(

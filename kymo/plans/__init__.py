@@ -1,10 +1,14 @@
 """Plan shapes shared by the operators: skew-safe ordered scans, halos, sweeps."""
 
-from kymo.plans.ordered import (
+from kymo.plans.lanes import (
     LANE,
+    Cuts,
     assign_lanes,
     attach,
+    cuts_from,
     exact_median,
+    measure,
+    no_cuts,
     ordered,
     spread_range,
     with_halo,
@@ -13,10 +17,14 @@ from kymo.plans.sweep import coverage_changes, sweep
 
 __all__ = [
     "LANE",
+    "Cuts",
     "assign_lanes",
     "attach",
     "coverage_changes",
+    "cuts_from",
     "exact_median",
+    "measure",
+    "no_cuts",
     "ordered",
     "spread_range",
     "sweep",

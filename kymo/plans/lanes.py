@@ -13,6 +13,8 @@ large recording at all, the plan is the plain window and nothing else.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ HOT_ROWS_CONF = "spark.kymo.hotRows"
 LANE_ROWS_CONF = "spark.kymo.laneRows"
 HOT_ROWS = 1_000_000
 LANE_ROWS = 65_536
-_MEASURED: dict[tuple, list[tuple]] = {}
+_MEASURED: dict[tuple, Cuts] = {}
 
 
 def _setting(df: DataFrame, name: str, default: int) -> int:
@@ -45,24 +47,98 @@ def _pack(columns: Mapping[str, Column | str]) -> Column:
     return F.struct(*[_col(c).alias(name) for name, c in columns.items()])
 
 
-def assign_lanes(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
+@dataclass(frozen=True)
+class Cuts:
+    """Keys to cut along one axis: rows ``(*key, lowest position, lane width)``.
+
+    Lanes are a function of key and position alone, so cuts measured on an
+    operator's input also serve every result it derives with the same keys.
+    """
+
+    keys: tuple[str, ...]
+    rows: tuple[tuple, ...] = ()
+
+    def along(self, lowest: int, width: int) -> Cuts:
+        """The same keys on an axis with a known range."""
+        n = len(self.keys)
+        return Cuts(self.keys, tuple((*r[:n], lowest, width) for r in self.rows))
+
+    def refined(self, **values: Sequence) -> Cuts:
+        """Keys extended by columns that take a few known values."""
+        n = len(self.keys)
+        rows = [
+            (*r[:n], *extra, *r[n:]) for r in self.rows for extra in product(*values.values())
+        ]
+        return Cuts((*self.keys, *values), tuple(rows))
+
+
+def no_cuts(keys: Sequence[str]) -> Cuts:
+    """For groups whose size has a small fixed bound."""
+    return Cuts(tuple(keys))
+
+
+def measure(
+    df: DataFrame, keys: Sequence[str], pos: str, bounds: tuple[int, int] | None = None
+) -> Cuts:
+    """Count rows per key and decide which keys to cut: one narrow, combined pass.
+
+    ``bounds`` gives the range of ``pos`` where it is known beforehand.
+    """
+    keys = list(keys)
+    narrow = df.select(*keys) if bounds else df.select(*keys, F.col(pos).alias("pos_"))
+    low = F.lit(bounds[0]) if bounds else F.min("pos_")
+    high = F.lit(bounds[1]) if bounds else F.max("pos_")
+    stats = narrow.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_"), low.alias("lo_"), high.alias("hi_")
+    )
+    return cuts_from(stats, keys, "n_", "lo_", "hi_")
+
+
+def cuts_from(stats: DataFrame, keys: Sequence[str], n: str, low: str, high: str) -> Cuts:
+    """Cuts from a table of row counts and position ranges, one row per key.
+
+    Reads at most HOT_KEYS rows. Kept per plan: an outdated answer would only
+    change how work is spread.
+    """
+    hot_rows = _setting(stats, HOT_ROWS_CONF, HOT_ROWS)
+    lane_rows = _setting(stats, LANE_ROWS_CONF, LANE_ROWS)
+    known = (stats.semanticHash(), tuple(keys), n, low, high, hot_rows, lane_rows)
+    if known not in _MEASURED:
+        largest = (
+            stats.filter(F.col(n) > hot_rows)
+            .orderBy(F.desc(n), *keys)
+            .limit(HOT_KEYS)
+            .select(*keys, n, low, high)
+        )
+        rows = []
+        for *key, count, lo, hi in (tuple(r) for r in largest.collect()):
+            steps = -(-count // lane_rows)
+            rows.append((*key, lo, max(1, -(-(hi - lo + 1) // steps))))
+        _MEASURED[known] = Cuts(tuple(keys), tuple(rows))
+    return _MEASURED[known]
+
+
+def assign_lanes(
+    df: DataFrame, keys: Sequence[str], pos: str, cuts: Cuts | None = None
+) -> DataFrame:
     """Add the lane number of every row.
 
     ``pos`` is a non-null bigint column that never decreases along the order used
-    later. Keys are counted first (one narrow, map-side combined pass); only those
-    above the row limit are cut, into equal steps of ``pos``. With none, the plan
-    that follows is the plain window.
+    later. Only keys above the row limit are cut, into equal steps of ``pos``. With
+    none, the plan that follows is the plain window.
     """
     keys = list(keys)
-    hot = _hot_keys(df, keys, pos)
-    if not hot:
+    cuts = measure(df, keys, pos) if cuts is None else cuts
+    if sorted(cuts.keys) != sorted(keys):
+        raise ValueError(f"cuts for {cuts.keys} do not fit keys {keys}")
+    if not cuts.rows:
         plain = df.withColumn(LANE, F.lit(-1).cast("bigint"))
         return plain.withMetadata(LANE, {"cut": False})
     schema = T.StructType(
-        [*(T.StructField(k, df.schema[k].dataType) for k in keys)]
+        [*(T.StructField(k, df.schema[k].dataType) for k in cuts.keys)]
         + [T.StructField(c, T.LongType()) for c in ("lo_", "width_")]
     )
-    widths = df.sparkSession.createDataFrame(hot, schema)
+    widths = df.sparkSession.createDataFrame(list(cuts.rows), schema)
     lane = F.floor((F.col(pos) - F.col("lo_")) / F.col("width_")).cast("bigint")
     return (
         df.join(F.broadcast(widths), keys, "left")
@@ -74,31 +150,6 @@ def assign_lanes(df: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
     )
 
 
-def _hot_keys(df: DataFrame, keys: list[str], pos: str) -> list[tuple]:
-    """At most HOT_KEYS rows ``(*keys, lowest pos, lane width)`` of the largest keys.
-
-    Kept per plan: an outdated answer would only change how work is spread.
-    """
-    hot_rows = _setting(df, HOT_ROWS_CONF, HOT_ROWS)
-    lane_rows = _setting(df, LANE_ROWS_CONF, LANE_ROWS)
-    narrow = df.select(*keys, F.col(pos).alias("pos_"))
-    known = (narrow.semanticHash(), tuple(keys), hot_rows, lane_rows)
-    if known not in _MEASURED:
-        counts = (
-            narrow.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n_"), F.min("pos_").alias("lo_"), F.max("pos_").alias("hi_"))
-            .filter(F.col("n_") > hot_rows)
-            .orderBy(F.desc("n_"), *keys)
-            .limit(HOT_KEYS)
-        )
-        found = []
-        for *key, n, lo, hi in (tuple(r) for r in counts.collect()):
-            steps = -(-n // lane_rows)
-            found.append((*key, lo, max(1, -(-(hi - lo + 1) // steps))))
-        _MEASURED[known] = found
-    return _MEASURED[known]
-
-
 def is_cut(df: DataFrame) -> bool:
     """False when no key of ``df`` was large enough to be cut into lanes."""
     return bool(df.schema[LANE].metadata.get("cut", True))
@@ -118,13 +169,15 @@ def ordered(
     last_known: Mapping[str, Column | str] | None = None,
     next_known: Mapping[str, Column | str] | None = None,
     number: str | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Window values along ``order`` within ``keys``, without one task per key.
 
     ``prev``/``following``: the value one row before/after. ``sums``: running sum
     including the row. ``earlier_max``: largest value on earlier rows. ``totals``:
     sum over the whole key. ``last_known``/``next_known``: nearest non-null value
-    at or before/after the row. ``number``: position from 1.
+    at or before/after the row. ``number``: position from 1. Without ``cuts`` the
+    frame itself is measured, unless it carries lanes already.
     """
     prev, following = dict(prev or {}), dict(following or {})
     sums, totals = dict(sums or {}), dict(totals or {})
@@ -136,7 +189,7 @@ def ordered(
         df = df.withColumn(_ALL, F.lit(0))
         keys = [_ALL]
     keys = list(keys)
-    rows = df if LANE in df.columns else assign_lanes(df, keys, pos)
+    rows = df if LANE in df.columns else assign_lanes(df, keys, pos, cuts)
 
     cut = is_cut(rows)
     if cut:
@@ -238,13 +291,14 @@ def with_halo(
     before: int,
     after: int,
     flag: str = "halo_",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Give every lane copies of the ``before``/``after`` rows around it.
 
     Row frames no wider than that, taken over ``(keys, LANE)``, then equal frames
     over the whole key. Copies carry ``flag`` = true; drop them after the window.
     """
-    rows = df if LANE in df.columns else assign_lanes(df, keys, pos)
+    rows = df if LANE in df.columns else assign_lanes(df, keys, pos, cuts)
     if not is_cut(rows):
         return rows.withColumn(flag, F.lit(False))
     names = rows.columns
@@ -319,13 +373,22 @@ def spread_range(df: DataFrame, keys: Sequence[str], n: Column, out: str) -> Dat
     ).drop("last_", "block_")
 
 
+# Range and step of the logarithmic axis that orders the values of a median.
+MEDIAN_LOWEST, MEDIAN_WIDTH = -(64 << 20), 1 << 14
+
+
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str = "median"
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str = "median",
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Exact median of a bigint column per key, null when the key has no value.
 
     Values are counted per ``(key, value)`` before they meet, so a key is never
-    gathered in one task and repeated values cost one row.
+    gathered in one task and repeated values cost one row. ``cuts`` are those of
+    the rows, on any axis.
     """
     keys = list(keys)
     counted = (
@@ -341,7 +404,13 @@ def exact_median(
         )
     )
     ranked = ordered(
-        counted, keys, "p_", ["p_", value], sums={"upto_": "c_"}, totals={"all_n_": "c_"}
+        counted,
+        keys,
+        "p_",
+        ["p_", value],
+        sums={"upto_": "c_"},
+        totals={"all_n_": "c_"},
+        cuts=None if cuts is None else cuts.along(MEDIAN_LOWEST, MEDIAN_WIDTH),
     )
     low = F.floor((F.col("all_n_") + 1) / 2)
     high = F.floor(F.col("all_n_") / 2) + 1

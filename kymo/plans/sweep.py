@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kymo.plans.ordered import LANE, assign_lanes, ordered
+from kymo.plans.lanes import LANE, Cuts, assign_lanes, measure, ordered
 
 
 def _ends(df: DataFrame, keys: Sequence[str], a: int, b: int) -> DataFrame:
@@ -26,7 +26,7 @@ def _ends(df: DataFrame, keys: Sequence[str], a: int, b: int) -> DataFrame:
 
 
 def coverage_changes(
-    a: DataFrame, b: DataFrame | None, keys: Sequence[str]
+    a: DataFrame, b: DataFrame | None, keys: Sequence[str], cuts: Cuts | None = None
 ) -> DataFrame:
     """Cover counts of both sets from each boundary on, and just before it.
 
@@ -36,10 +36,15 @@ def coverage_changes(
     ends = _ends(a, keys, 1, 0)
     if b is not None:
         ends = ends.unionByName(_ends(b, keys, 0, 1))
+    if cuts is None:
+        starts = a.select(*keys, "start")
+        cuts = measure(
+            starts if b is None else starts.unionByName(b.select(*keys, "start")), keys, "start"
+        )
     steps = ends.groupBy(*keys, "t").agg(
         F.sum("da").cast("bigint").alias("da"), F.sum("db").cast("bigint").alias("db")
     )
-    steps = assign_lanes(steps, keys, "t")
+    steps = assign_lanes(steps, keys, "t", cuts)
     covers = ordered(steps, keys, "t", sums={"cover_a": "da", "cover_b": "db"})
     return covers.withColumns(
         {
@@ -53,7 +58,8 @@ def sweep(
     a: DataFrame,
     b: DataFrame | None,
     keys: Sequence[str],
-    inside,
+    inside: Callable[[Column, Column], Column],
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Pieces ``[start, end)`` where ``inside(cover_a, cover_b)`` holds.
 
@@ -61,7 +67,7 @@ def sweep(
     touch. ``inside`` maps two cover-count columns to a boolean column.
     """
     keys = list(keys)
-    covers = coverage_changes(a, b, keys)
+    covers = coverage_changes(a, b, keys, cuts)
     now: Column = inside(F.col("cover_a"), F.col("cover_b"))
     was: Column = inside(F.col("before_a"), F.col("before_b"))
     flips = covers.select(*keys, LANE, "t", now.alias("now_"), was.alias("was_")).filter(
