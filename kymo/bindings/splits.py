@@ -113,15 +113,25 @@ def _(t):
 def folds_sql(source: str, keys: str, label: str, ident: str, n: int, keep: str) -> str:
     """CTE ``folds``: the stratified folds of ``source``."""
     group = f"{keys}, {label}" if keys else label
+    part = f"PARTITION BY {keys}" if keys else ""
+    fold_part = f"PARTITION BY {keys}, fold" if keys else "PARTITION BY fold"
     return f"""
+fc AS (SELECT {group}, count(*) AS c FROM {source} GROUP BY {group}),
+fo AS (SELECT {group}, sum(c) OVER ({part} ORDER BY {label}) - c AS before FROM fc),
 fr AS (SELECT *, {ranked_sql(group, ident)} FROM {source}),
-fk AS (SELECT fr.* EXCLUDE (rn, n), k AS fold, (rn - 1) % {n} = k AS home
-    FROM fr, (SELECT CAST(unnest(range({n})) AS INTEGER) AS k) q),
+fk AS (SELECT fr.* EXCLUDE (rn, n), k AS fold, (before + rn - 1) % {n} = k AS home
+    FROM fr JOIN fo USING ({group}), (SELECT CAST(unnest(range({n})) AS INTEGER) AS k) q),
 fs AS (SELECT *, row_number() OVER (PARTITION BY {group}, fold, home
-        ORDER BY md5(CAST({ident} AS VARCHAR) || '_' || (fold + 42)), {ident}) AS rn,
-    count(*) OVER (PARTITION BY {group}, fold, home) AS n FROM fk),
+        ORDER BY md5(CAST({ident} AS VARCHAR) || '_' || (fold + 42)), {ident}) AS rn FROM fk),
+fe AS (SELECT {group}, fold, count(*) AS rest FROM fk WHERE NOT home GROUP BY {group}, fold),
+fn AS (SELECT *, sum(rest) OVER ({fold_part}) AS nr FROM fe),
+ft AS (SELECT *, nr - CAST(ceil(nr * {dbl(0.2)}) AS BIGINT) AS nt FROM fn),
+fw AS (SELECT *, rest * nt // nr AS whole, rest * nt % nr AS part FROM ft),
+fv AS (SELECT *, rest - whole - CASE WHEN row_number() OVER ({fold_part} ORDER BY part DESC, {label})
+    <= nt - sum(whole) OVER ({fold_part}) THEN 1 ELSE 0 END AS n_valid FROM fw),
 folds AS (SELECT {keep}, fold, CASE WHEN home THEN 'test'
-    WHEN rn <= floor(n * {dbl(0.2)} + 0.5) THEN 'valid' ELSE 'train' END AS split FROM fs)"""
+    WHEN rn <= n_valid THEN 'valid' ELSE 'train' END AS split
+    FROM fs LEFT JOIN fv USING ({group}, fold))"""
 
 
 @query("stratified_folds", f"""

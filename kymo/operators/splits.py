@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kymo.functions.hashing import (
     TEST,
@@ -106,6 +107,52 @@ def causal_ratio_split(domain: DataFrame, ratios: tuple[float, float, float]) ->
     return domain.select(*others, F.explode(parts).alias("p_")).select(*others, "p_.*")
 
 
+def _class_shares(
+    df: DataFrame, keys: Sequence[str], label: str, n_folds: int, val_ratio: float
+) -> DataFrame:
+    """Per class: items in the classes before it, and its valid items in every fold.
+
+    Test items follow the running number over all classes, so folds differ by one
+    item at most. In each fold ``ceil(ratio * rest)`` items are valid; classes get
+    their whole part of the train items and the largest remainders one more. Works
+    on one row per class and fold.
+    """
+    keys = list(keys)
+    in_order = Window.partitionBy(*keys).orderBy(label)
+    classes = (
+        df.groupBy(*keys, label)
+        .agg(F.count(F.lit(1)).alias("c_"))
+        .withColumn("before_", F.sum("c_").over(in_order) - F.col("c_"))
+        .withColumn("fold_", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
+    )
+    first = F.pmod(F.col("fold_") - F.col("before_"), F.lit(n_folds))
+    tested = F.greatest(F.floor((F.col("c_") - 1 - first) / n_folds) + 1, F.lit(0))
+    fold = Window.partitionBy(*keys, "fold_")
+    counted = classes.withColumn("rest_", F.col("c_") - tested).withColumn(
+        "all_rest_", F.sum("rest_").over(fold)
+    )
+    n_train = F.col("all_rest_") - F.ceil(F.col("all_rest_") * F.lit(val_ratio))
+    drawn = counted.withColumn("drawn_", F.col("rest_") * n_train).withColumns(
+        {
+            "whole_": F.expr("drawn_ div all_rest_"),
+            "part_": F.col("drawn_") % F.col("all_rest_"),
+            "n_train_": n_train,
+        }
+    )
+    short = F.col("n_train_") - F.sum("whole_").over(fold)
+    by_part = fold.orderBy(F.desc("part_"), label)
+    extra = F.when(F.row_number().over(by_part) <= short, 1).otherwise(0)
+    valid = F.col("rest_") - F.col("whole_") - extra
+    return (
+        drawn.withColumn("valid_", F.coalesce(valid, F.lit(0)).cast("bigint"))
+        .groupBy(*keys, label)
+        .agg(
+            F.first("before_").alias("before_"),
+            F.map_from_entries(F.collect_list(F.struct("fold_", "valid_"))).alias("n_valid_"),
+        )
+    )
+
+
 def stratified_folds(
     df: DataFrame,
     keys: Sequence[str],
@@ -122,10 +169,17 @@ def stratified_folds(
     share is valid.
     """
     cuts = measure_groups(df, [*keys, label])
-    placed = shuffled_rank(df, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
+    shares = _class_shares(df, keys, label, n_folds, val_ratio)
+    known = df.join(shares, [*keys, label], "left")
+    placed = shuffled_rank(known, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
     each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-    home = ((F.col("rank_") - 1) % n_folds).cast("int") == F.col("fold")
-    each = each.withColumn("home_", home).drop("rank_", "total_")
+    place = (F.col("before_") + F.col("rank_") - 1) % n_folds
+    each = each.withColumns(
+        {
+            "home_": place.cast("int") == F.col("fold"),
+            "valid_": F.element_at("n_valid_", F.col("fold")),
+        }
+    ).drop("rank_", "total_", "before_", "n_valid_")
     rest = shuffled_rank(
         each,
         [*keys, label, "fold", "home_"],
@@ -135,9 +189,12 @@ def stratified_folds(
         "total_",
         cuts.refined(fold=range(n_folds), home_=(True, False)),
     )
-    share = _half_up(F.col("total_") * F.lit(val_ratio))
-    split = F.when(F.col("home_"), TEST).when(F.col("rank_") <= share, VALID).otherwise(TRAIN)
-    return rest.withColumn("split", split).drop("rank_", "total_", "home_")
+    split = (
+        F.when(F.col("home_"), TEST)
+        .when(F.col("rank_") <= F.col("valid_"), VALID)
+        .otherwise(TRAIN)
+    )
+    return rest.withColumn("split", split).drop("rank_", "total_", "home_", "valid_")
 
 
 def rare_class_filter(

@@ -66,10 +66,9 @@ def read_participants(
 def read_json_sidecars(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Sidecar files as ``(stem, json)``."""
     return (
-        spark.read.option("wholetext", "true")
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .text(folder)
+        .text(folder, wholetext=True)
         .select(ph.file_stem(F.input_file_name()).alias("stem"), F.col("value").alias("json"))
     )
 
