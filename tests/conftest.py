@@ -11,7 +11,7 @@ from kymo.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("8", "kymo-tests")
+    return local_session("8", "kymo-tests", partitions=4)
 
 
 @pytest.fixture(params=["whole", "lanes"])

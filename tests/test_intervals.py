@@ -32,7 +32,7 @@ def pieces(points):
     return [tuple(p) for p in out]
 
 
-@pytest.fixture(params=range(3))
+@pytest.fixture(params=range(2))
 def pair(request, spark):
     rng = random.Random(request.param)
     a, b = random_set(rng, 14), random_set(rng, 11)
