@@ -149,7 +149,7 @@ def segment_by_median_gap(
         "step_", F.col(t) - F.col("prev_t_")
     )
     medians = exact_median(steps, keys, "step_", "median_", cuts)
-    flagged = attach(steps, medians, keys).withColumn(
+    flagged = attach(steps, medians, keys, cuts.n_keys).withColumn(
         "new_", F.coalesce(F.col("step_") > F.lit(factor) * F.col("median_"), F.lit(False))
     )
     pieces = _segments(flagged, keys, t, [F.first("median_").alias("median_")])
@@ -278,10 +278,11 @@ def regularize_grid(
     ``off_grid`` mark what strict callers reject.
     """
     keys = list(keys)
-    laned = assign_lanes(df.select(*keys, t, value), keys, t)
+    cuts = measure(df, keys, t)
+    laned = assign_lanes(df.select(*keys, t, value), keys, t, cuts)
     spans = laned.groupBy(*keys).agg(F.min(t).alias("t0_"), F.max(t).alias("tn_"))
     since = F.col(t) - F.col("t0_")
-    placed = attach(laned, spans, keys).withColumn(
+    placed = attach(laned, spans, keys, cuts.n_keys).withColumn(
         "idx", F.bround(since / F.lit(period), 0).cast("bigint")
     )
     slots = placed.groupBy(*keys, "idx").agg(
@@ -636,7 +637,7 @@ def concat_recordings(
     cuts = cuts_from(ranged, keys, "n_", "lo_", "hi_")
     facts = facts.drop("n_", "t0_", "tn_", "p0_", "pn_")
     laned = assign_lanes(parts, keys, pos, cuts)
-    known = attach(laned, facts, keys).drop(LANE)
+    known = attach(laned, facts, keys, cuts.n_keys).drop(LANE)
     known = known.withColumn(
         "at_", F.when(F.col("missing_date"), F.col(pos)).otherwise(F.col(started))
     )

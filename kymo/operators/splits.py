@@ -24,7 +24,7 @@ from kymo.functions.hashing import (
     string_kfold,
 )
 from kymo.operators import intervals as iv
-from kymo.plans.lanes import Cuts, measure, no_cuts, ordered
+from kymo.plans.lanes import Cuts, attach, measure, no_cuts, ordered
 
 
 def shuffled_rank(
@@ -170,7 +170,7 @@ def stratified_folds(
     """
     cuts = measure_groups(df, [*keys, label])
     shares = _class_shares(df, keys, label, n_folds, val_ratio)
-    known = df.join(shares, [*keys, label], "left")
+    known = attach(df, shares, [*keys, label], cuts.n_keys)
     placed = shuffled_rank(known, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
     each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
     place = (F.col("before_") + F.col("rank_") - 1) % n_folds

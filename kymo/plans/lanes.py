@@ -32,7 +32,6 @@ HOT_ROWS_CONF = "spark.kymo.hotRows"
 LANE_ROWS_CONF = "spark.kymo.laneRows"
 HOT_ROWS = 1_000_000
 LANE_ROWS = 65_536
-_MEASURED: dict[tuple, Cuts] = {}
 
 
 def _setting(df: DataFrame, name: str, default: int) -> int:
@@ -57,11 +56,12 @@ class Cuts:
 
     keys: tuple[str, ...]
     rows: tuple[tuple, ...] = ()
+    n_keys: int | None = None
 
     def along(self, lowest: int, width: int) -> Cuts:
         """The same keys on an axis with a known range."""
         n = len(self.keys)
-        return Cuts(self.keys, tuple((*r[:n], lowest, width) for r in self.rows))
+        return Cuts(self.keys, tuple((*r[:n], lowest, width) for r in self.rows), self.n_keys)
 
     def refined(self, **values: Sequence) -> Cuts:
         """Keys extended by columns that take a few known values."""
@@ -97,25 +97,24 @@ def measure(
 def cuts_from(stats: DataFrame, keys: Sequence[str], n: str, low: str, high: str) -> Cuts:
     """Cuts from a table of row counts and position ranges, one row per key.
 
-    Reads at most HOT_KEYS rows. Kept per plan: an outdated answer would only
-    change how work is spread.
+    Reads the number of keys and the largest count; only when a key is too large
+    are the largest keys themselves read, at most HOT_KEYS of them.
     """
     hot_rows = _setting(stats, HOT_ROWS_CONF, HOT_ROWS)
     lane_rows = _setting(stats, LANE_ROWS_CONF, LANE_ROWS)
-    known = (stats.semanticHash(), tuple(keys), n, low, high, hot_rows, lane_rows)
-    if known not in _MEASURED:
+    n_keys, most = stats.agg(F.count(F.lit(1)), F.max(n)).first()
+    rows = []
+    if most is not None and most > hot_rows:
         largest = (
             stats.filter(F.col(n) > hot_rows)
             .orderBy(F.desc(n), *keys)
             .limit(HOT_KEYS)
             .select(*keys, n, low, high)
         )
-        rows = []
         for *key, count, lo, hi in (tuple(r) for r in largest.collect()):
             steps = -(-count // lane_rows)
             rows.append((*key, lo, max(1, -(-(hi - lo + 1) // steps))))
-        _MEASURED[known] = Cuts(tuple(keys), tuple(rows))
-    return _MEASURED[known]
+    return Cuts(tuple(keys), tuple(rows), n_keys)
 
 
 def assign_lanes(
@@ -336,13 +335,21 @@ def _struct_type(df: DataFrame, columns: Sequence[str]) -> str:
     return df.select(*columns).schema.simpleString()
 
 
-def attach(rows: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join of a one-row-per-``on`` table, by lane where keys were cut.
+# A table of one row per key is broadcast up to this many counted keys.
+BROADCAST_KEYS = 200_000
 
-    The table's row is repeated for each lane of a cut key, so the join spreads
-    exactly as the rows do.
+
+def attach(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], n_keys: int | None = None
+) -> DataFrame:
+    """Left join of a one-row-per-``on`` table that never moves a hot key as a whole.
+
+    A table known to be small (``n_keys``, from a count) is broadcast. Otherwise its
+    row is repeated for each lane of a cut key, so the join spreads as the rows do.
     """
     on = list(on)
+    if n_keys is not None and n_keys <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(table), on, "left")
     if LANE not in rows.columns or not is_cut(rows):
         return rows.join(table, on, "left")
     lanes = rows.filter(F.col(LANE) >= 0).select(*on, LANE).distinct().join(table, on)
