@@ -157,16 +157,25 @@ def test_coverage_ranked(spark, cutting):
     s = 1_000_000
     domain = spark.createDataFrame([("r", 0, 1000 * s), ("calm", 0, 1000 * s)],
                                    "k string, start bigint, end bigint")
-    # the pauses leave block 7 fully active and block 3 nearly so
-    pauses = [("r", b * 100 * s, b * 100 * s + (0 if b == 7 else 5 if b == 3 else 20 + b) * s)
-              for b in range(10)]
-    pauses = spark.createDataFrame(pauses, "k string, start bigint, end bigint").filter("end > start")
+    held = {b: 0 if b == 7 else 5 if b == 3 else 20 + b for b in range(10)}
+    paused = {i for b, n in held.items() for i in range(100 * b, 100 * b + n)}
+    rows = [("r", 100 * b * s, (100 * b + n) * s) for b, n in held.items() if n]
+    pauses = spark.createDataFrame(rows, "k string, start bigint, end bigint")
     got = sp.coverage_ranked_split(domain, pauses, ["k"]).collect()
-    test = [(r.start, r.end) for r in got if r.split == "test" and r.k == "r"]
-    valid = [(r.start, r.end) for r in got if r.split == "valid" and r.k == "r"]
-    # blocks start at the first active second, 20 s in, and are 98 s wide
-    assert test == [(706 * s, 800 * s)] or len(test) >= 1
-    assert len(valid) >= 1 and set(test).isdisjoint(valid)
+    # ten blocks of 98 s from the first active second on, ranked by active seconds
+    blocks = [range(20 + 98 * b, 20 + 98 * (b + 1)) for b in range(10)]
+    ranked = sorted(range(10), key=lambda b: len(set(blocks[b]) - paused))
+    wanted = {"train": ranked[:8], "valid": ranked[8:9], "test": ranked[9:]}
+    for split, chosen in wanted.items():
+        active = sorted({i for b in chosen for i in blocks[b]} - paused)
+        pieces = []
+        for i in active:
+            if pieces and pieces[-1][1] == i:
+                pieces[-1][1] = i + 1
+            else:
+                pieces.append([i, i + 1])
+        found = sorted((r.start // s, r.end // s) for r in got if r.split == split and r.k == "r")
+        assert found == [tuple(p) for p in pieces if p[1] - p[0] > 10]
     calm = [r for r in got if r.k == "calm"]
     assert sum(r.end - r.start for r in calm) == 1000 * s
     assert sum(r.end - r.start for r in calm if r.split == "train") == 800 * s
