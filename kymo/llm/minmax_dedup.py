@@ -162,19 +162,14 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, setting
         .select("a", "b")
     )
     wanted = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).distinct()
-    schema = pa.schema([("id", pa.int64()), ("found", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("set_hash", pa.binary()), ("found", pa.binary())])
 
     def run(batches):
-        yield from batched(schema, ((doc, shingles(text, settings.shingle).tobytes()) for doc, text in rows(batches)))
+        found = ((doc, shingles(text, settings.shingle).tobytes()) for doc, text in rows(batches))
+        yield from batched(schema, ((doc, xxhash.xxh3_128_digest(each), each) for doc, each in found))
 
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = written(
-        texts.join(wanted, "id", "left_semi")
-        .mapInArrow(run, "id long, found binary")
-    )
-    # rows that repeat a doc_id are told apart by their set
-    sets = sets.join(classes.select("id", F.col("set_hash").alias("h")), "id").filter(digest("found") == F.col("h")).drop("h")
-    sets = sets.dropDuplicates(["id"])
+    sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(run, "id long, set_hash binary, found binary"))
     return (
         likely.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
@@ -183,11 +178,6 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, setting
     )
 
 
-@F.pandas_udf("binary")
-def digest(found: pd.Series) -> pd.Series:
-    return found.map(xxhash.xxh3_128_digest)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of the edges (a, b): the smallest id reachable.
 
