@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kymo.llm import divergence, language, packing, page_text, toxicity
+from pyspark.sql import functions as F
+
+from kymo.llm import divergence, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, toxicity
 from kymo.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,10 +28,32 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op3_pitman_yor_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.language_model(table(spark, folder, "documents"))
+
+
+def op4_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).drop("cuts")
+
+
 def op5_divergence_quality(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.quality(table(spark, folder, "documents"))
 
 
+def op6_sanitise(spark: SparkSession, folder: str) -> DataFrame:
+    return sanitise.personal_data(table(spark, folder, "documents"))
+
+
+def op7_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest sign codes of every row whose id is divisible by 100, among all rows."""
+    codes = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.nearest(codes, codes.filter(F.col("id") % 100 == 0))
+
+
+def op8_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return page_text.main_text(table(spark, folder, "pages"))
 
@@ -40,6 +64,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_best_fit_packing, op5_divergence_quality, op9_main_text, op10_toxicity)
+    for f in (
+        op1_language_id,
+        op2_best_fit_packing,
+        op3_pitman_yor_lm,
+        op4_sainte_lague_mix,
+        op5_divergence_quality,
+        op6_sanitise,
+        op7_multi_index_hashing,
+        op8_minmax_near_dedup,
+        op9_main_text,
+        op10_toxicity,
+    )
 }
 ORACLES: dict[str, str] = {}

@@ -85,20 +85,21 @@ def _located(text: Column, pattern: str) -> Column:
 
 def base_spans(text: Column, context: int) -> Column:
     """Valid matches of all kinds, by start and then kind, with their contexts."""
-    parts = []
-    for i, kind in enumerate(KINDS):
+    def of_kind(number: int, kind: str) -> Column:
         spans = F.transform(
-            F.filter(_located(text, PATTERNS[kind]), lambda s, k=kind: _valid(k, s["value"])),
-            lambda s, n=i: F.struct(
+            F.filter(_located(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"])),
+            lambda s: F.struct(
                 s["start"].alias("start"),
-                F.lit(n).alias("kind"),
+                F.lit(number).alias("kind"),
                 s["end"].alias("end"),
                 s["value"].alias("value"),
                 F.right(s["before"], F.lit(context)).alias("before"),
                 F.left(s["after"], F.lit(context)).alias("after"),
             ),
         )
-        parts.append(F.when(F.regexp_like(text, F.lit(_HINTS[kind])), spans).otherwise(F.array().cast(f"array<{_SPAN}>")))
+        return F.when(F.regexp_like(text, F.lit(_HINTS[kind])), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+    parts = [of_kind(i, kind) for i, kind in enumerate(KINDS)]
     return F.array_sort(F.concat(*parts))
 
 
@@ -201,7 +202,11 @@ def personal_data(documents: DataFrame, settings: Settings = Settings()) -> Data
     results; further columns are ignored; overlapping spans of several kinds all stay.
     """
     found = spans_of(documents, settings)
-    counts = [F.size(F.filter("base", lambda s, n=i: s["kind"] == n)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return found.select(
         "doc_id",
         *counts,
