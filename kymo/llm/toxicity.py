@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kymo.llm.common import batched, fold, rows
+from kymo.llm.common import batched, fold, rows, written
 
 _NOT_LETTER = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
 _GRAM = 5
@@ -31,14 +31,15 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("windows"
 
 @dataclass(frozen=True)
 class Settings:
-    """``train_windows`` and ``fit_docs`` bound, per class, the labelled sample the dictionaries
-    and the calibration are fitted on; nothing bounds what is scored."""
+    """``train_docs`` bounds the labelled sample (toxic documents, and twice as many ordinary
+    ones) that dictionaries and calibration are fitted on, ``train_windows`` the windows per class
+    that go into a dictionary; nothing bounds what is scored."""
 
     window: int = 48
     step: int = 32
     train_window: int = 256
     train_windows: int = 20_000
-    fit_docs: int = 1_500
+    train_docs: int = 2_500
     ordinary_bytes: int = 98_304
     toxic_bytes: int = 4_096
     least_count: int = 8
@@ -150,12 +151,26 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
     return mean, scale, w
 
 
-def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """Fit on labelled rows (doc_id, text, toxic); samples are the first by a seeded hash.
+def sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, text, toxic) of the labelled documents to learn from: the first by a seeded hash.
+
+    Ids are drawn from the labels alone, so the documents are filtered by a broadcast of bounded
+    size and their texts are not shuffled.
+    """
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
+    drawn = [
+        known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(settings.train_docs * (2 - kind))
+        for kind in (0, 1)
+    ]
+    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
+    return written(documents.select("doc_id", "text").join(chosen, "doc_id").filter(F.col("text").isNotNull()))
+
+
+def fit(known: DataFrame, settings: Settings = Settings()) -> Model:
+    """Fit on sampled rows (doc_id, text, toxic).
 
     Rows without text or label teach nothing. Without both classes, every score is the base rate.
     """
-    known = labelled.filter(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)).select("doc_id", "text", "toxic")
     window = pa.schema([("toxic", pa.int32()), ("part", pa.binary()), ("rank", pa.int64())])
     size = settings.train_window
 
@@ -168,7 +183,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
         yield from batched(window, each())
 
     cuts = known.mapInArrow(cut, "toxic int, part binary, rank long")
-    sample = {
+    parts = {
         kind: [
             bytes(r.part)
             for r in cuts.filter(F.col("toxic") == kind)
@@ -180,18 +195,14 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
         ]
         for kind in (0, 1)
     }
-    if not sample[0] or not sample[1]:
-        rate = 0.0 if not sample[1] else 1.0
+    if not parts[0] or not parts[1]:
+        rate = 0.0 if not parts[1] else 1.0
         odds = -30.0 if not rate else 30.0
         width = 2 * len(_STEPS)
         return Model(b" ", b" ", np.zeros(width), np.ones(width), np.r_[odds, np.zeros(width)], settings)
-    base, extra = train(sample[0], sample[1], settings)
+    base, extra = train(parts[0], parts[1], settings)
     model = Model(base, extra, np.zeros(1), np.ones(1), np.zeros(1), settings)
-    chosen = None
-    for kind in (0, 1):
-        part = known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(settings.fit_docs * (2 - kind))
-        chosen = part if chosen is None else chosen.unionByName(part)
-    found = _featured(chosen, model).collect()
+    found = _featured(known, model).collect()
     mean, scale, weights = calibrate(np.array([r.features for r in found]), np.array([float(r.toxic) for r in found]))
     return Model(base, extra, mean, scale, weights, settings)
 
@@ -240,15 +251,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 def toxicity(documents: DataFrame, labels: DataFrame, folds: int = 5, settings: Settings = Settings()) -> DataFrame:
     """Scores of all documents from labels of rows whose checksum modulo ``folds`` is not 0.
 
-    Adds held_out and predicted (score at least 0.5). Labels that repeat a document count once
-    per row; labels without document are ignored.
+    Adds held_out and predicted (score at least 0.5). Labels that repeat count once, labels
+    without document not at all.
     """
-    teach = (
-        labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-        .filter(fold("doc_id", folds) != 0)
-        .join(documents.select("doc_id", "text"), "doc_id")
-    )
-    model = fit(teach, settings)
+    teach = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(fold("doc_id", folds) != 0)
+    model = fit(sample(documents, teach, settings), settings)
     return score(documents, model).select(
         "doc_id",
         (fold("doc_id", folds) == 0).alias("held_out"),
