@@ -8,7 +8,7 @@ representatives that share a bucket are linked if their full sets are similar en
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -39,6 +39,7 @@ class Settings:
     permutations: int = 96
     rows: int = 6
     agreement: float = 0.70
+    block: int = 1024
     seed: int = 20_023
 
     @property
@@ -132,8 +133,8 @@ def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "bucket long, id long, sort binary")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def agreeing(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow the threshold."""
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -143,6 +144,64 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, setting
             dtype=bool,
         )
 
+    sizes = classes.select("id", "n_shingles", "signature")
+    return (
+        pairs.join(sizes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), "a")
+        .join(sizes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), "b")
+        # a similarity cannot exceed the ratio of the sizes
+        .filter(100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb"))
+        .filter(alike("sa", "sb"))
+        .select("a", "b")
+    )
+
+
+def apart(named: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) that share a bucket, lie in different components and agree enough.
+
+    ``named`` holds (bucket, id, component) of buckets with several components. A bucket is dealt
+    into blocks of about ``block`` rows and every two blocks meet in one group, so that no group
+    grows with the bucket and only agreeing pairs become rows.
+    """
+    blocks = named.groupBy("bucket").agg(F.ceil(F.count("id") / settings.block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = (
+        named.join(classes.select("id", "n_shingles", "signature"), "id")
+        .join(blocks, "bucket")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "n_shingles", "signature")
+    )
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    least = settings.agreement * 2 * settings.permutations
+
+    def meet(batches):
+        def each():
+            for (_, i, j), group in groupby(rows(batches), lambda r: r[:3]):
+                group = list(group)
+                sides = [[r for r in group if r[3] == k] for k in dict.fromkeys((i, j))]
+                if not all(sides):
+                    continue
+                ids, parts, sizes = ([np.array([r[at] for r in side]) for side in sides] for at in (4, 5, 6))
+                signs = [np.stack([np.frombuffer(r[7], np.uint32) for r in side]) for side in sides]
+                for k in range(len(sides[0])):
+                    # within one block, only what follows
+                    start = k + 1 if i == j else 0
+                    big, small = np.maximum(sizes[0][k], sizes[-1][start:]), np.minimum(sizes[0][k], sizes[-1][start:])
+                    open_ = (parts[0][k] != parts[-1][start:]) & (100 * small >= settings.percent * big)
+                    near = np.flatnonzero(open_) + start
+                    if len(near):
+                        equal = (signs[-1][near] == signs[0][k]).sum(1)
+                        for b in ids[-1][near[equal >= least]]:
+                            yield int(min(ids[0][k], b)), int(max(ids[0][k], b))
+
+        yield from batched(schema, each(), 20_000)
+
+    return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(meet, "a long, b long").distinct()
+
+
+def verified(likely: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
@@ -152,15 +211,6 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, setting
             out.append(100 * both >= settings.percent * (len(p) + len(q) - both))
         return pd.Series(out, dtype=bool)
 
-    sizes = classes.select("id", "n_shingles", "signature")
-    likely = written(
-        pairs.join(sizes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), "a")
-        .join(sizes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), "b")
-        # a similarity cannot exceed the ratio of the sizes
-        .filter(100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb"))
-        .filter(alike("sa", "sb"))
-        .select("a", "b")
-    )
     wanted = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).distinct()
     schema = pa.schema([("id", pa.int64()), ("set_hash", pa.binary()), ("found", pa.binary())])
 
@@ -242,24 +292,16 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
     follow = Window.partitionBy("bucket", F.substring("sort", 1, 4)).orderBy("sort", "id")
     chain = dealt.select(F.col("id").alias("a"), F.lead("id").over(follow).alias("b")).filter("b is not null")
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    first = written(star.union(chain).select(*pair).filter("a <> b").distinct())
-    links = written(verified(first, classes, documents, settings))
+    first = written(agreeing(star.union(chain).select(*pair).filter("a <> b").distinct(), classes, settings))
+    links = written(verified(first, documents, settings))
     grouped = components(links)
     # what is left: pairs in one bucket, in different components, not compared yet
     named = dealt.select("bucket", "id").join(grouped, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     split = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-    left = written(named.join(split, "bucket"))
-    other = left.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    rest = (
-        left.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-        .join(other, "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-        .select("a", "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = written(verified(written(rest), classes, documents, settings))
-    final = components(reduce(DataFrame.union, [links, more]))
+    rest = written(apart(written(named.join(split, "bucket")), classes, settings).join(first, ["a", "b"], "left_anti"))
+    final = grouped
+    if not rest.isEmpty():
+        final = components(links.union(written(verified(rest, documents, settings))))
     held = classes.select("set_hash", F.col("id").alias("class_id")).join(
         final.select(F.col("id").alias("class_id"), "component"), "class_id", "left"
     )
