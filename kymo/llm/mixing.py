@@ -77,7 +77,9 @@ def apportion(frame: DataFrame, group: str, key: str, share: str, seats: str) ->
         .filter("_k >= 0")
         .withColumn("_v", F.col(share) / (2 * F.col("_k") + 1))
     )
-    first = Window.partitionBy(group).orderBy(F.when(over, -F.col("_v")).otherwise(F.col("_v")), key, "_k")
+    first = Window.partitionBy(group).orderBy(
+        F.when(over, -F.col("_v")).otherwise(F.col("_v")), F.when(over, F.col(key)).otherwise(-F.col(key)), "_k"
+    )
     moved = (
         tried.withColumn("_r", F.row_number().over(first))
         .filter(F.col("_r") <= F.abs("_d"))
