@@ -625,7 +625,7 @@ def _(t):
 # --- metadata -----------------------------------------------------------------
 
 
-@query("describe_brainset", f"""
+@query("describe_dataset", f"""
 SELECT c_name AS id, CASE WHEN c_nationkey = 3 THEN '' ELSE '1.0' END AS origin_version,
     CASE WHEN c_nationkey = 4 THEN NULL ELSE '2.0' END AS derived_version,
     c_mktsegment AS source, CASE WHEN c_acctbal < 0 THEN '' ELSE 'customer' END AS description,

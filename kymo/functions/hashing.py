@@ -34,9 +34,9 @@ def hash_share(text: Column) -> Column:
 def string_kfold(ident: Column, n_folds: int = 3, val_ratio: float = 0.2, seed: int = 42) -> Column:
     """Array of one part name per fold; the id is in test in exactly one fold."""
     if n_folds < 1:
-        raise ValueError(f"n_folds must be at least 1, got {n_folds}")
+        raise ValueError(f"need one fold or more, not {n_folds}")
     if not 0.0 <= val_ratio <= 1.0:
-        raise ValueError(f"val_ratio must be in [0, 1], got {val_ratio}")
+        raise ValueError(f"the validation share is {val_ratio}, outside 0 to 1")
     base = F.concat(ident, F.lit(f"_{seed}"))
     home = string_hash_mod(base, n_folds)
     parts = [
