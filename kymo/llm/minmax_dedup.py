@@ -85,13 +85,12 @@ def signature(found: np.ndarray, settings: Settings, parts: tuple[np.ndarray, np
     odd, add = parts
     low = np.full(settings.permutations, np.iinfo(np.uint64).max, np.uint64)
     high = np.zeros(settings.permutations, np.uint64)
-    for at in range(0, len(found), 2048):
-        some = found[at : at + 2048]
-        for i in range(settings.permutations):
-            turned = some * odd[i] + add[i]
-            turned ^= turned >> np.uint64(32)
-            low[i] = min(low[i], turned.min())
-            high[i] = max(high[i], turned.max())
+    for at in range(0, len(found), 512):
+        turned = found[at : at + 512] * odd[:, None]
+        turned += add[:, None]
+        turned ^= turned >> np.uint64(32)
+        np.minimum(low, turned.min(1), out=low)
+        np.maximum(high, turned.max(1), out=high)
     both = np.stack([low, high], 1).ravel()
     return (mix(both) >> np.uint64(32)).astype(np.uint32)
 
