@@ -16,7 +16,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kymo.llm.common import batched, mix, rows, words, written
 
@@ -40,6 +39,7 @@ class Settings:
     rows: int = 6
     agreement: float = 0.70
     block: int = 1024
+    load: int = 4_000_000
     seed: int = 20_023
 
     @property
@@ -115,6 +115,10 @@ def signed(documents: DataFrame, settings: Settings) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, signature binary")
 
 
+def bucket_key(part: np.ndarray, band: int) -> int:
+    return xxhash.xxh3_64_intdigest(part.tobytes(), band) - 2**63
+
+
 def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
     """(bucket, id, sort) of every band of every class; ``sort`` brings like signatures together."""
     schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("sort", pa.binary())])
@@ -124,8 +128,7 @@ def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
             for id_, sign in rows(batches):
                 at = np.frombuffer(sign, np.uint32).reshape(settings.bands, settings.rows)
                 for band in range(settings.bands):
-                    key = xxhash.xxh3_64_intdigest(at[band].tobytes(), band) - 2**63
-                    yield key, id_, at[(band + 1) % settings.bands].tobytes()
+                    yield bucket_key(at[band], band), id_, at[(band + 1) % settings.bands].tobytes()
 
         yield from batched(schema, each(), 20_000)
 
@@ -154,48 +157,123 @@ def agreeing(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFr
     )
 
 
-def apart(named: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) that share a bucket, lie in different components and agree enough.
+def meetings(named: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """Classes that share a bucket, lie in different components and agree enough, as lists.
 
     ``named`` holds (bucket, id, component) of buckets with several components. A bucket is dealt
-    into blocks of about ``block`` rows and every two blocks meet in one group, so that no group
-    grows with the bucket and only agreeing pairs become rows.
+    into blocks of about ``block`` rows or ``load`` shingles, and every two blocks meet in one
+    group, so that no group grows with the bucket. A pair counts in the first band it shares.
+    Rows: group (bucket, i, j), id, component and ``near``, the later ids it may be linked with.
     """
-    blocks = named.groupBy("bucket").agg(F.ceil(F.count("id") / settings.block).cast("int").alias("blocks"))
+    known = named.join(classes.select("id", "n_shingles", "signature"), "id")
+    weight = F.greatest(F.count("id") / settings.block, F.sum("n_shingles") / settings.load)
+    blocks = known.groupBy("bucket").agg(F.ceil(weight).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (
-        named.join(classes.select("id", "n_shingles", "signature"), "id")
-        .join(blocks, "bucket")
+        known.join(blocks, "bucket")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "n_shingles", "signature")
     )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    long = pa.int64()
+    schema = pa.schema(
+        [("bucket", long), ("i", pa.int32()), ("j", pa.int32()), ("id", long), ("component", long), ("near", pa.list_(long))]
+    )
     least = settings.agreement * 2 * settings.permutations
+    shape = (settings.bands, settings.rows)
 
     def meet(batches):
         def each():
-            for (_, i, j), group in groupby(rows(batches), lambda r: r[:3]):
+            for (bucket, i, j), group in groupby(rows(batches), lambda r: r[:3]):
                 group = list(group)
                 sides = [[r for r in group if r[3] == k] for k in dict.fromkeys((i, j))]
                 if not all(sides):
                     continue
                 ids, parts, sizes = ([np.array([r[at] for r in side]) for side in sides] for at in (4, 5, 6))
-                signs = [np.stack([np.frombuffer(r[7], np.uint32) for r in side]) for side in sides]
-                for k in range(len(sides[0])):
+                signs = [np.stack([np.frombuffer(r[7], np.uint32).reshape(shape) for r in side]) for side in sides]
+                here = next((n for n in range(settings.bands) if bucket_key(signs[0][0][n], n) == bucket), None)
+                company: dict[int, list[int]] = {}
+                for k, id_ in enumerate(ids[0].tolist()):
                     # within one block, only what follows
                     start = k + 1 if i == j else 0
                     big, small = np.maximum(sizes[0][k], sizes[-1][start:]), np.minimum(sizes[0][k], sizes[-1][start:])
+                    # a similarity cannot exceed the ratio of the sizes
                     open_ = (parts[0][k] != parts[-1][start:]) & (100 * small >= settings.percent * big)
-                    near = np.flatnonzero(open_) + start
-                    if len(near):
-                        equal = (signs[-1][near] == signs[0][k]).sum(1)
-                        for b in ids[-1][near[equal >= least]]:
-                            yield int(min(ids[0][k], b)), int(max(ids[0][k], b))
+                    at = np.flatnonzero(open_) + start
+                    if not len(at):
+                        continue
+                    same = signs[-1][at] == signs[0][k]
+                    met = ids[-1][at[(same.sum((1, 2)) >= least) & (same.all(2).argmax(1) == here)]].tolist()
+                    if met:
+                        company.setdefault(id_, []).extend(met)
+                        for other in met:
+                            company.setdefault(other, [])
+                part = {r[4]: r[5] for r in group}
+                for id_, met in company.items():
+                    yield bucket, i, j, id_, part[id_], met
+
+        yield from batched(schema, each(), 2_000)
+
+    return (
+        dealt.repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j")
+        .mapInArrow(meet, "bucket long, i int, j int, id long, component long, near array<long>")
+    )
+
+
+def similar(p: np.ndarray, q: np.ndarray, settings: Settings) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return bool(100 * both >= settings.percent * (len(p) + len(q) - both))
+
+
+def full_sets(wanted: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
+    """(id, found) with all shingles of the documents in ``wanted``."""
+    schema = pa.schema([("id", pa.int64()), ("found", pa.binary())])
+
+    def run(batches):
+        yield from batched(schema, ((doc, shingles(text, settings.shingle).tobytes()) for doc, text in rows(batches)))
+
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return written(texts.join(wanted, "id", "left_semi").mapInArrow(run, "id long, found binary"))
+
+
+def confirmed(met: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) of full sets among the ``meetings`` that join all components they can.
+
+    A group compares its members' full sets and leaves out pairs it has already connected, so
+    that it returns fewer links than it has members. A set goes once to each of its groups.
+    """
+    sets = full_sets(met.select("id").distinct(), documents, settings)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        def each():
+            for _, group in groupby(rows(batches), lambda r: r[:3]):
+                held = {r[3]: (r[4], r[5], np.frombuffer(r[6], np.uint64)) for r in group}
+                up: dict[int, int] = {}
+
+                def top(x):
+                    while x in up:
+                        x = up[x]
+                    return x
+
+                for a, (part, near, found) in held.items():
+                    for b in near:
+                        x, y = top(part), top(held[b][0])
+                        if x != y and similar(found, held[b][2], settings):
+                            up[max(x, y)] = min(x, y)
+                            yield min(a, b), max(a, b)
 
         yield from batched(schema, each(), 20_000)
 
-    return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(meet, "a long, b long").distinct()
+    return (
+        met.join(sets, "id")
+        .select("bucket", "i", "j", "id", "component", "near", "found")
+        .repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j")
+        .mapInArrow(run, "a long, b long")
+    )
 
 
 def verified(likely: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
@@ -203,22 +281,11 @@ def verified(likely: DataFrame, documents: DataFrame, settings: Settings) -> Dat
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= settings.percent * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+        found = ((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True))
+        return pd.Series([similar(p, q, settings) for p, q in found], dtype=bool)
 
     wanted = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).distinct()
-    schema = pa.schema([("id", pa.int64()), ("set_hash", pa.binary()), ("found", pa.binary())])
-
-    def run(batches):
-        found = ((doc, shingles(text, settings.shingle).tobytes()) for doc, text in rows(batches))
-        yield from batched(schema, ((doc, xxhash.xxh3_128_digest(each), each) for doc, each in found))
-
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = written(texts.join(wanted, "id", "left_semi").mapInArrow(run, "id long, set_hash binary, found binary"))
+    sets = full_sets(wanted, documents, settings)
     return (
         likely.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
@@ -273,9 +340,10 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
     same text get equal results. A null doc_id counts as none and stays its own component.
     Further columns are ignored; an empty table gives no rows.
 
-    A bucket first links every class to its smallest id and to its successor by signature.
-    Then all pairs of classes that share a bucket but not yet a component are compared, so that
-    a group of copies costs a few pairs each and no link between buckets' members is lost.
+    A bucket first links every class to its smallest id and to the smallest id with the same next
+    band; a group of copies has few such ids over all its buckets, so its pairs grow with its size.
+    Then all classes that share a bucket but not yet a component are compared, block by block, so
+    that a group of copies costs a few rows each and no link between buckets' members is lost.
     """
     found = written(signed(documents, settings))
     classes = written(
@@ -284,23 +352,23 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     )
     dealt = buckets(classes, settings)
-    shared = dealt.groupBy("bucket").agg(F.count("id").alias("n"), F.min("id").alias("low")).filter("n > 1")
-    # only buckets with company go on; a large bucket's rows stay spread over its sort values
-    dealt = written(dealt.join(shared, "bucket"))
-    star = dealt.filter("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
-    follow = Window.partitionBy("bucket", F.substring("sort", 1, 4)).orderBy("sort", "id")
-    chain = dealt.select(F.col("id").alias("a"), F.lead("id").over(follow).alias("b")).filter("b is not null")
+    # only buckets with company go on; two steps, so that a large bucket is combined before it is summed up
+    parts = dealt.groupBy("bucket", "sort").agg(F.count("id").alias("n"), F.min("id").alias("first"))
+    shared = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("first").alias("low")).filter("n > 1").drop("n")
+    dealt = written(dealt.join(shared, "bucket").join(parts.drop("n"), ["bucket", "sort"]))
+    star = dealt.select(F.col("low").alias("a"), F.col("id").alias("b"))
+    inner = dealt.select(F.col("first").alias("a"), F.col("id").alias("b"))
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    first = written(agreeing(star.union(chain).select(*pair).filter("a <> b").distinct(), classes, settings))
+    first = written(agreeing(star.union(inner).select(*pair).filter("a <> b").distinct(), classes, settings))
     links = written(verified(first, documents, settings))
     grouped = components(links)
-    # what is left: pairs in one bucket, in different components, not compared yet
+    # what is left: pairs in one bucket, in different components
     named = dealt.select("bucket", "id").join(grouped, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     split = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-    rest = written(apart(written(named.join(split, "bucket")), classes, settings).join(first, ["a", "b"], "left_anti"))
+    met = written(meetings(written(named.join(split, "bucket")), classes, settings))
     final = grouped
-    if not rest.isEmpty():
-        final = components(links.union(written(verified(rest, documents, settings))))
+    if not met.isEmpty():
+        final = components(links.union(written(confirmed(met, documents, settings))))
     held = classes.select("set_hash", F.col("id").alias("class_id")).join(
         final.select(F.col("id").alias("class_id"), "component"), "class_id", "left"
     )
