@@ -120,19 +120,20 @@ def bucket_key(part: np.ndarray, band: int) -> int:
 
 
 def buckets(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(bucket, id, sort) of every band of every class; ``sort`` brings like signatures together."""
-    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("sort", pa.binary())])
+    """(bucket, id, next) of every band of every class; ``next`` is the bucket of the band after it."""
+    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("next", pa.int64())])
 
     def run(batches):
         def each():
             for id_, sign in rows(batches):
                 at = np.frombuffer(sign, np.uint32).reshape(settings.bands, settings.rows)
-                for band in range(settings.bands):
-                    yield bucket_key(at[band], band), id_, at[(band + 1) % settings.bands].tobytes()
+                keys = [bucket_key(part, band) for band, part in enumerate(at)]
+                for band, key in enumerate(keys):
+                    yield key, id_, keys[(band + 1) % settings.bands]
 
         yield from batched(schema, each(), 20_000)
 
-    return classes.select("id", "signature").mapInArrow(run, "bucket long, id long, sort binary")
+    return classes.select("id", "signature").mapInArrow(run, "bucket long, id long, next long")
 
 
 def agreeing(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -352,12 +353,12 @@ def near_duplicates(documents: DataFrame, settings: Settings = Settings()) -> Da
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     )
     dealt = buckets(classes, settings)
-    # only buckets with company go on; two steps, so that a large bucket is combined before it is summed up
-    parts = dealt.groupBy("bucket", "sort").agg(F.count("id").alias("n"), F.min("id").alias("first"))
-    shared = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("first").alias("low")).filter("n > 1").drop("n")
-    dealt = written(dealt.join(shared, "bucket").join(parts.drop("n"), ["bucket", "sort"]))
+    shared = dealt.groupBy("bucket").agg(F.count("id").alias("n"), F.min("id").alias("low")).filter("n > 1").drop("n")
+    # only buckets with company go on
+    dealt = written(dealt.join(shared, "bucket"))
+    parts = dealt.groupBy("bucket", "next").agg(F.min("id").alias("first"), F.count("id").alias("n")).filter("n > 1").drop("n")
     star = dealt.select(F.col("low").alias("a"), F.col("id").alias("b"))
-    inner = dealt.select(F.col("first").alias("a"), F.col("id").alias("b"))
+    inner = dealt.join(parts, ["bucket", "next"]).select(F.col("first").alias("a"), F.col("id").alias("b"))
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     first = written(agreeing(star.union(inner).select(*pair).filter("a <> b").distinct(), classes, settings))
     links = written(verified(first, documents, settings))
