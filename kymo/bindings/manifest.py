@@ -371,8 +371,9 @@ def _(t):
 
 
 @query("build_manifest", f"""
-WITH {PATHS}, {PARSED}, {EEG}, c AS (SELECT 'sub-' || lpad(CAST(c_custkey AS VARCHAR), 3, '0')
-    AS subject_id, {AGE} AS a, {SEX} AS s FROM customer WHERE c_custkey < 1000)
+WITH {PATHS}, {PARSED}, {EEG}, c AS (SELECT 'sub-' || CASE WHEN c_custkey < 100
+    THEN lpad(CAST(c_custkey AS VARCHAR), 3, '0') ELSE CAST(c_custkey AS VARCHAR) END
+    AS subject_id, {AGE} AS a, {SEX} AS s FROM customer)
 SELECT recording_id, eeg.subject_id, 's3://archive/set01/' || regexp_replace(path, '/[^/]*$', '')
     || '/' || recording_id AS url, '1.0.0' AS snapshot_tag, 'HOMO_SAPIENS' AS species,
     CASE WHEN a IN ('n/a', 'NaN') THEN NULL ELSE CAST(a AS DOUBLE) END AS age,
@@ -380,8 +381,9 @@ SELECT recording_id, eeg.subject_id, 's3://archive/set01/' || regexp_replace(pat
 FROM eeg LEFT JOIN c ON c.subject_id = eeg.subject_id
 """)
 def _(t):
-    people = t.table("customer").filter(F.col("c_custkey") < 1000).select(
-        F.concat(F.lit("sub-"), F.lpad(F.col("c_custkey").cast("string"), 3, "0"))
+    number = F.col("c_custkey").cast("string")
+    people = t.table("customer").select(
+        F.concat(F.lit("sub-"), F.lpad(number, 3, "0"), F.substring(number, 4, 20))
         .alias("subject_id"),
         F.expr(AGE).alias("age"),
         F.expr(SEX).alias("sex"),

@@ -68,14 +68,16 @@ def _(t):
 @query("trial_bounds_from_next", f"""
 WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, epoch_us(l_shipdate) AS t,
     l_extendedprice, CASE WHEN l_returnflag <> 'N' THEN epoch_us(l_shipdate) + {HOUR} END AS target,
-    epoch_us(l_shipdate) + CAST(l_quantity AS BIGINT) * {HOUR} AS stop,
+    CASE WHEN l_suppkey % 9 <> 0 THEN epoch_us(l_shipdate) + CAST(l_quantity AS BIGINT) * {HOUR}
+        END AS stop,
     max(epoch_us(l_shipdate)) OVER (PARTITION BY l_orderkey) + {DAY} AS dom FROM lineitem),
-g AS (SELECT *, coalesce(target, CASE WHEN lag(stop) OVER w IS NULL THEN t
-        ELSE least(lag(stop) OVER w + {SECOND}, stop) END) AS trial_start,
-    lead(stop) OVER w IS NULL AS is_last FROM l
+g AS (SELECT *, coalesce(target, CASE WHEN row_number() OVER w = 1 THEN t
+        WHEN lag(stop) OVER w IS NOT NULL AND stop IS NOT NULL
+        THEN least(lag(stop) OVER w + {SECOND}, stop) END) AS trial_start,
+    lead(l_orderkey) OVER w IS NULL AS is_last FROM l
     WINDOW w AS (PARTITION BY l_orderkey ORDER BY {", ".join(LINE_ORDER)}))
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, trial_start, CASE WHEN is_last
-    THEN least(stop + {SECOND}, dom) ELSE lead(trial_start) OVER (PARTITION BY l_orderkey
+    THEN CASE WHEN stop IS NOT NULL THEN least(stop + {SECOND}, dom) END ELSE lead(trial_start) OVER (PARTITION BY l_orderkey
     ORDER BY {", ".join(LINE_ORDER)}) END AS trial_end FROM g
 """)
 def _(t):
@@ -87,7 +89,8 @@ def _(t):
         "t",
         "l_extendedprice",
         F.when(F.col("l_returnflag") != "N", F.col("t") + HOUR).alias("target"),
-        (F.col("t") + F.col("l_quantity").cast("bigint") * HOUR).alias("stop"),
+        F.when(F.col("l_suppkey") % 9 != 0, F.col("t") + F.col("l_quantity").cast("bigint") * HOUR)
+        .alias("stop"),
     )
     ends = rows.groupBy("l_orderkey").agg((F.max("t") + DAY).alias("domain_end"))
     got = tr.trial_bounds_from_next(

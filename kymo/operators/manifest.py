@@ -109,7 +109,11 @@ def recording_files_exist(
 def subject_info(
     recordings: DataFrame, participants: DataFrame | None, subject: str = "subject_id"
 ) -> DataFrame:
-    """Age (a number) and sex of each recording's subject, null where unknown."""
+    """Age (a number) and sex of each recording's subject, null where unknown.
+
+    A subject listed more than once keeps a fact on which its known values agree; facts
+    that contradict each other count as unknown. Recordings are never multiplied.
+    """
     if participants is None:
         participants = recordings.sparkSession.createDataFrame([], f"{subject} string")
     none = F.lit(None).cast("string")
@@ -121,7 +125,8 @@ def subject_info(
         F.when(~F.isnan(number), number).alias("age"),
         md.known_text(sex).alias("sex"),
     )
-    return recordings.join(facts, subject, "left")
+    agreed = [F.when(F.min(c) == F.max(c), F.min(c)).alias(c) for c in ("age", "sex")]
+    return recordings.join(facts.groupBy(subject).agg(*agreed), subject, "left")
 
 
 def build_manifest(

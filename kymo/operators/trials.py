@@ -88,28 +88,33 @@ def trial_bounds_from_next(
 
     A missing onset falls back to the first start, or to one second after the
     previous stop but not past its own stop; the last trial ends one second after
-    its stop but not past the domain. One pass: both neighbours are read together.
+    its stop but not past the domain. A bound that rests on an unknown stop is null.
+    One pass: both neighbours are read together.
     """
     seen = ordered(
         df,
         keys,
         pos,
         order,
-        prev={"before_": stop},
-        following={"next_on_": target_on, "next_stop_": stop},
+        prev={"before_": stop, "earlier_": F.lit(True)},
+        following={"next_on_": target_on, "next_stop_": stop, "later_": F.lit(True)},
     )
-    later = F.least(F.col("before_") + SECOND, F.col(stop))
-    own = F.when(F.col("before_").isNull(), F.col(start)).otherwise(later)
+
+    def smaller(a: Column, b: Column) -> Column:
+        return F.when(a.isNotNull() & b.isNotNull(), F.least(a, b))
+
+    later = smaller(F.col("before_") + SECOND, F.col(stop))
+    own = F.when(F.col("earlier_").isNull(), F.col(start)).otherwise(later)
     following = F.coalesce(
-        F.col("next_on_"), F.least(F.col(stop) + SECOND, F.col("next_stop_"))
+        F.col("next_on_"), smaller(F.col(stop) + SECOND, F.col("next_stop_"))
     )
-    last = F.least(F.col(stop) + SECOND, F.col(domain_end))
+    last = smaller(F.col(stop) + SECOND, F.col(domain_end))
     return seen.withColumns(
         {
             "trial_start": F.coalesce(F.col(target_on), own),
-            "trial_end": F.when(F.col("next_stop_").isNull(), last).otherwise(following),
+            "trial_end": F.when(F.col("later_").isNull(), last).otherwise(following),
         }
-    ).drop("before_", "next_on_", "next_stop_")
+    ).drop("before_", "earlier_", "next_on_", "next_stop_", "later_")
 
 
 def movement_phases(

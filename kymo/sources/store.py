@@ -12,10 +12,16 @@ PARTITIONS = ("dataset_id", "recording_id")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """New folder below the cluster's shared one, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"kymo-{uuid.uuid4().hex}"
-    return f"{shared.rstrip('/')}/{name}" if shared else f"{tempfile.mkdtemp()}/{name}"
+    """New folder below the cluster's shared one.
+
+    Only a local session, whose tasks share the driver's disk, may go without the setting.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-")
+    return f"{shared.rstrip('/')}/kymo-{uuid.uuid4().hex}"
 
 
 def write_component(

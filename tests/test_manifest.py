@@ -74,6 +74,16 @@ def test_build_manifest(spark):
     assert mf.subject_info(tree(spark).select(F.lit("sub-1").alias("subject_id")), None).first().age is None
 
 
+def test_repeated_subjects(spark):
+    people = spark.createDataFrame(
+        [("a", "34", "F"), ("a", "34", "n/a"), ("b", "20", "M"), ("b", "21", "M"), (None, "9", "F")],
+        "subject_id string, age string, sex string",
+    )
+    recordings = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None)], "r int, subject_id string")
+    got = mf.subject_info(recordings, people).orderBy("r").collect()
+    assert [(r.r, r.age, r.sex) for r in got] == [(1, 34.0, "F"), (2, None, "M"), (3, None, None), (4, None, None)]
+
+
 def test_listing_keys(spark):
     keys = ["p/a.txt", "p/d/", "p/d/b.txt", "q/c.txt", "p/"]
     df = spark.createDataFrame([(k,) for k in keys], "key string")

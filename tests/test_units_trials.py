@@ -93,6 +93,18 @@ def test_trial_bounds(spark, cutting):
     ]
 
 
+def test_trial_bounds_with_an_unknown_stop(spark, cutting):
+    rows = [("r", 0, 0, 0, 5 * S), ("r", 1, 10 * S, 9 * S, None), ("r", 2, 20 * S, 19 * S, 25 * S),
+            ("r", 3, None, 26 * S, None)]
+    df = spark.createDataFrame(
+        rows, "k string, pos bigint, on bigint, start bigint, stop bigint"
+    ).withColumn("dom", F.lit(30 * S))
+    got = tr.trial_bounds_from_next(df, ["k"], "pos", ["pos"], "on", "start", "stop", "dom")
+    assert [(r.trial_start, r.trial_end) for r in got.orderBy("pos").collect()] == [
+        (0, 10 * S), (10 * S, 20 * S), (20 * S, None), (None, None)
+    ]
+
+
 def test_time_columns_shift_together(spark):
     df = spark.createDataFrame([(1, 5, 9, 7)], "id int, a bigint, b bigint, go bigint")
     got = tr.shift_times(tr.trials_from_table(df, "a", "b", ["go"]), 10).first()
