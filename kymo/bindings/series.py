@@ -449,11 +449,11 @@ def _(t):
 
 @query("nan_pad_schema", """
 SELECT event_id, event_type,
-    CASE WHEN event_type = 'view' THEN CAST('nan' AS DOUBLE) ELSE value END AS speed,
+    CASE WHEN event_type IN ('click', 'purchase') THEN value ELSE CAST('nan' AS DOUBLE) END AS speed,
     CASE WHEN event_type = 'view' THEN value / 2 ELSE CAST('nan' AS DOUBLE) END AS theta,
     CASE WHEN event_type = 'click' THEN value ELSE CAST('nan' AS DOUBLE) END AS pos_x,
     CASE WHEN event_type = 'click' THEN value * 2 ELSE CAST('nan' AS DOUBLE) END AS pos_y
-FROM events WHERE event_type IN ('click', 'view', 'purchase')
+FROM events
 """)
 def _(t):
     e, v = t.events.select("event_id", "event_type", "value"), F.col("value")
@@ -465,6 +465,7 @@ def _(t):
         of("click", speed=v, pos=F.array(v, v * 2)),
         of("view", theta=v / 2),
         of("purchase", speed=v, pos=F.array(v)),
+        e.filter(~F.coalesce(F.col("event_type").isin("click", "view", "purchase"), F.lit(False))),
     ]
     return ts.nan_pad_schema(frames, ["event_id", "event_type"], ["speed", "theta"], ["pos"])
 
@@ -526,13 +527,13 @@ def _(t):
 
 @query("fixed_width_distribution", """
 SELECT vec_id, CAST(k AS INTEGER) AS bin, CAST(embedding[k + 1] AS DOUBLE) AS "L",
-    CAST(embedding[k + 31] AS DOUBLE) AS "P"
-FROM embeddings, (SELECT unnest(range(30)) AS k) q WHERE len(embedding) >= 60
+    CAST(embedding[k + 33] AS DOUBLE) AS "P"
+FROM embeddings, (SELECT unnest(range(32)) AS k) q
 """)
 def _(t):
     chunks = t.table("embeddings").select(
         "vec_id",
-        F.slice("embedding", 1, 30).cast("array<double>").alias("L"),
-        F.slice("embedding", 31, 30).cast("array<double>").alias("P"),
+        F.slice("embedding", 1, 32).cast("array<double>").alias("L"),
+        F.slice("embedding", 33, 32).cast("array<double>").alias("P"),
     )
-    return ts.fixed_width_distribution(chunks, ["vec_id"], ["L", "P"], 30)
+    return ts.fixed_width_distribution(chunks, ["vec_id"], ["L", "P"], 32)

@@ -266,12 +266,10 @@ def _(t):
 @query("natural_scenes", f"""
 WITH {EVENTS_CTE}, {FRAMES} SELECT user_id, start_us, end_us, l_linenumber AS frame_,
     CAST(l_linenumber + 1 AS BIGINT) AS frame, (start_us + end_us) / 2 AS timestamps
-FROM framed WHERE l_returnflag = 'A'
+FROM framed
 """)
 def _(t):
-    table = stimuli(t).filter(F.col("l_returnflag") == "A").withColumn(
-        "frame", F.col("l_linenumber")
-    )
+    table = stimuli(t).withColumn("frame", F.col("l_linenumber"))
     got = tr.natural_scenes(table, ev(t), ["user_id"], "t", "frame")
     return us(got.withColumn("frame_", (F.col("frame") - 1).cast("int")))
 

@@ -18,7 +18,7 @@ def incremental_skip(
     """Items without output yet; all of them when reprocessing."""
     if reprocess:
         return manifest
-    return manifest.join(done.select(*on).distinct(), list(on), "left_anti")
+    return manifest.join(done.select(*on), list(on), "left_anti")
 
 
 def run_manifest(

@@ -101,7 +101,6 @@ def recording_files_exist(
             F.regexp_extract(p, "(?:^|/)(sub-[^/]+)/", 1).alias(subject),
             F.explode(heads).alias(ident),
         )
-        .distinct()
     )
     return recordings.join(known, [subject, ident], "left_semi")
 

@@ -94,12 +94,12 @@ def sampling_intervals_ratio(
     if scheme == "intrasession":
         cut = causal_ratio_split(domains, ratios)
         return cut.filter(F.col("split") == name).select(*keys, "start", "end")
-    member = hash_three_way(F.col(ident).cast("string"), ratios, seed) == name
-    return domains.select(
-        *keys,
-        F.when(member, F.col("start")).alias("start"),
-        F.when(member, F.col("end")).alias("end"),
-    ).distinct()
+    member = F.coalesce(
+        hash_three_way(F.col(ident).cast("string"), ratios, seed) == name, F.lit(False)
+    )
+    inside = domains.filter(member).select(*keys, "start", "end")
+    none = [F.lit(None).cast(domains.schema[c].dataType).alias(c) for c in ("start", "end")]
+    return inside.union(domains.filter(~member).select(*keys).distinct().select(*keys, *none))
 
 
 def sampling_intervals_selector(
