@@ -242,11 +242,8 @@ def _(t):
 MOVIES = {"A": "natural_movie_one", "N": "natural_movie_two", "R": "natural_movie_three"}
 
 
-def frame_table(t, flag=None):
-    rows = stimuli(t).withColumns(
-        {"frame": F.col("l_partkey"), "repeat": F.col("l_linenumber")}
-    )
-    return rows if flag is None else rows.filter(F.col("l_returnflag") == flag)
+def frame_table(t):
+    return stimuli(t).withColumns({"frame": F.col("l_partkey"), "repeat": F.col("l_linenumber")})
 
 
 @query("movie_frames", f"""
@@ -277,27 +274,17 @@ def _(t):
 @query("sparse_noise_union", f"""
 WITH {EVENTS_CTE}, {FRAMES}, z AS (SELECT user_id, start_us, end_us, l_partkey AS frame,
     CASE WHEN l_returnflag = 'A' THEN 4.65::DOUBLE ELSE 9.3::DOUBLE END AS pixel_size
-    FROM framed WHERE l_returnflag IN ('A', 'R') AND start_us IS NOT NULL AND end_us IS NOT NULL)
-SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_us, end_us, pixel_size, frame) - 1
-    AS idx FROM z
+    FROM framed WHERE start_us IS NOT NULL)
+SELECT *, row_number() OVER (PARTITION BY user_id
+    ORDER BY start_us, end_us NULLS FIRST, pixel_size, frame) - 1 AS idx FROM z
 """)
 def _(t):
-    tables = [frame_table(t, "A"), frame_table(t, "R")]
-    stamps = ev(t)
-    known = [
-        x.join(last_frame(stamps), "user_id").filter(F.col("end") < F.col("n_frames")).drop(
-            "n_frames"
-        )
-        for x in tables
-    ]
-    got = tr.sparse_noise_union(known, stamps, ["user_id"], "t", ["frame"], ["frame"])
+    rows = frame_table(t)
+    tables = [rows.filter("l_returnflag = 'A'"), rows.filter("l_returnflag <> 'A'")]
+    got = tr.sparse_noise_union(tables, ev(t), ["user_id"], "t", ["frame"], ["frame"])
     return us(got.drop("timestamps"))
 
 
-def last_frame(stamps):
-    return stamps.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_frames"))
-
-
 @query("interval_midpoint", f"""
 SELECT o_orderkey, (epoch_us(o_orderdate) + epoch_us(o_orderdate)
     + CAST(floor(o_totalprice) AS BIGINT)) / 2 AS timestamps FROM orders
@@ -369,18 +356,16 @@ def _(t):
 
 
 @query("trial_series_concat", """
-WITH v AS (SELECT label, vec_id, embedding[1:1 + vec_id % 64] AS x FROM embeddings),
+WITH v AS (SELECT label, vec_id, embedding || embedding[1:vec_id % 64] AS x FROM embeddings),
 o AS (SELECT *, coalesce(sum(len(x)) OVER (PARTITION BY label ORDER BY vec_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM v)
 SELECT label, vec_id, CAST(off + k AS BIGINT) AS idx, CAST(x[k + 1] AS DOUBLE) AS v
 FROM o, LATERAL (SELECT unnest(range(len(x))) AS k)
 """)
 def _(t):
-    ragged = t.table("embeddings").select(
-        "label",
-        "vec_id",
-        F.slice("embedding", F.lit(1), (F.col("vec_id") % 64).cast("int") + 1).alias("x"),
-    )
+    # whole vectors, followed by a head of their own, so that lengths differ
+    head = F.slice("embedding", F.lit(1), (F.col("vec_id") % 64).cast("int"))
+    ragged = t.table("embeddings").select("label", "vec_id", F.concat("embedding", head).alias("x"))
     got = tr.trial_series_concat(ragged, ["label"], "vec_id", "x")
     return got.withColumn("v", F.col("v").cast("double"))
 
