@@ -151,25 +151,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
     return mean, scale, w
 
 
-def sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents to learn from: the first by a seeded hash.
+def sample(documents: DataFrame, labels: DataFrame, settings: Settings) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, text, toxic) of the labelled documents to learn from, the first by a seeded hash,
+    and how many labelled documents there are of each class, in the sample or not.
 
-    Ids are drawn from the labels alone, so the documents are filtered by a broadcast of bounded
+    Only ids are joined with the labels, so the documents are filtered by a broadcast of bounded
     size and their texts are not shuffled.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
+    held = documents.filter(F.col("text").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    present = written(known.join(held, "doc_id"))
+    counts = {r.toxic: r.n for r in present.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
     drawn = [
-        known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(settings.train_docs * (2 - kind))
+        present.filter(F.col("toxic") == kind).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(settings.train_docs * (2 - kind))
         for kind in (0, 1)
     ]
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
-    return written(documents.select("doc_id", "text").join(chosen, "doc_id").filter(F.col("text").isNotNull()))
+    return written(documents.select("doc_id", "text").join(chosen, "doc_id").filter(F.col("text").isNotNull())), counts
 
 
-def fit(known: DataFrame, settings: Settings = Settings()) -> Model:
-    """Fit on sampled rows (doc_id, text, toxic).
+def fit(known: DataFrame, counts: dict[int, int], settings: Settings = Settings()) -> Model:
+    """Fit on sampled rows (doc_id, text, toxic) of ``counts`` labelled documents per class.
 
-    Rows without text or label teach nothing. Without both classes, every score is the base rate.
+    The intercept moves by the difference of the log odds of all labelled documents and of the
+    sample, so that scores mean the same whether or not the sample's bounds bind. Rows without
+    text or label teach nothing. Without both classes, every score is the base rate.
     """
     window = pa.schema([("toxic", pa.int32()), ("part", pa.binary()), ("rank", pa.int64())])
     size = settings.train_window
@@ -203,7 +209,9 @@ def fit(known: DataFrame, settings: Settings = Settings()) -> Model:
     base, extra = train(parts[0], parts[1], settings)
     model = Model(base, extra, np.zeros(1), np.ones(1), np.zeros(1), settings)
     found = _featured(known, model).collect()
-    mean, scale, weights = calibrate(np.array([r.features for r in found]), np.array([float(r.toxic) for r in found]))
+    y = np.array([float(r.toxic) for r in found])
+    mean, scale, weights = calibrate(np.array([r.features for r in found]), y)
+    weights[0] += np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
     return Model(base, extra, mean, scale, weights, settings)
 
 
@@ -255,7 +263,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, folds: int = 5, settings:
     without document not at all.
     """
     teach = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(fold("doc_id", folds) != 0)
-    model = fit(sample(documents, teach, settings), settings)
+    model = fit(*sample(documents, teach, settings), settings)
     return score(documents, model).select(
         "doc_id",
         (fold("doc_id", folds) == 0).alias("held_out"),

@@ -300,6 +300,20 @@ def test_toxicity(spark, odd, none):
     assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.9
 
 
+def test_toxicity_odds_are_those_of_all_labels(spark, odd):
+    """The same document fits, whether or not the sample's bounds bind."""
+    pick = np.random.default_rng(6)
+    say = lambda: " ".join("".join(pick.choice(list("aeioubdfglmnrst"), 5)) for _ in range(30))
+    # the mark is in every toxic document and in as many ordinary ones
+    rows = [(i, say() + (" grumblefoo blastwort" * 3 if i % 10 < 2 else ""), int(i % 10 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    known, counts = toxicity.sample(docs, marks, toxicity.Settings(train_docs=100))
+    assert counts == {0: 2700, 1: 300} and {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()} == {0: 200, 1: 100}
+    found = toxicity.toxicity(docs, marks, settings=toxicity.Settings(train_docs=100)).agg(F.avg("score")).first()[0]
+    assert abs(found - 0.1) < 0.03  # the sample's share is a third
+
+
 def test_pipeline(spark, odd, folder):
     import corpus_pipeline
 
