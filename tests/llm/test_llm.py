@@ -108,6 +108,21 @@ def test_language_model(spark, odd, none, folder):
     assert pitman_yor.language_model(none).count() == 0
 
 
+def test_every_previous_word_has_a_restaurant(spark, odd):
+    """A word pair in a corpus whose other words make up nearly all tokens."""
+    filler = " ".join(f"w{i % 5}" for i in range(6000))
+    rows = [(i, f"{filler} rare{i % 3} next{i % 3}") for i in range(60)]
+    unseen = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2][:12]
+    rows += [(d, f"rare{i % 3} next{(i + i // 6) % 3}") for i, d in enumerate(unseen)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard_tokens in (1_000_000, 20_000):
+        found = pitman_yor.language_model(docs, settings=pitman_yor.Settings(shard_tokens=shard_tokens)).collect()
+        score = {r.doc_id: r.score for r in found}
+        assert len(found) == 72
+        # the last six hold pairs that do not occur
+        assert min(score[d] for d in unseen[:6]) > max(score[d] for d in unseen[6:]) + 1
+
+
 def test_seating_follows_the_one_by_one_process():
     pick = np.random.default_rng(3)
     fast = pitman_yor.seat(np.full(4000, 300), np.full(4000, 2.0), 0.5, pick).mean()
