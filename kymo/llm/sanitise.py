@@ -1,13 +1,14 @@
 """Personal data: patterns, and terms whose co-occurrence gives protected values away.
 
-Protected values are found by pattern. Around every mention lies a context; over the distinct
-contexts of all documents, the pointwise mutual information of a term and a value is compared
-with the value's own information content. A term that gives away a large enough part of it is
-generalised, beyond a second threshold removed. DataFrame functions only.
+Protected values are found by pattern. Over the distinct texts, the pointwise mutual information
+of a term and a value that occur in one text is compared with the value's own information content.
+A term that gives away a large enough part of it is generalised, beyond a second threshold removed,
+wherever it occurs. DataFrame functions only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,11 +38,9 @@ TOKENS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 
 @dataclass(frozen=True)
 class Settings:
-    """``context``: characters on either side of a mention. ``support``: distinct contexts in
-    which term and value must meet before an estimate counts. Thresholds are parts of the
-    value's information content."""
+    """``support``: distinct texts in which term and value must meet before an estimate counts.
+    Thresholds are parts of the value's information content."""
 
-    context: int = 64
     support: int = 3
     generalise: float = 0.6
     remove: float = 0.9
@@ -64,27 +63,34 @@ def _valid(kind: str, value: Column) -> Column:
     return n.between(9, 15)
 
 
-_SPAN = "struct<start:int,kind:int,end:int,value:string,before:string,after:string>"
+_SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
-def _located(text: Column, pattern: str) -> Column:
-    """All matches with start, end (code points, end exclusive) and the text between matches."""
+def _located(text: Column, pattern: str, kept: Callable[[Column], Column] | None = None) -> Column:
+    """All matches with start and end (code points, end exclusive); with ``kept``, those whose
+    value it gives a kind for, with that kind."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zipped = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("before"), F.slice(gaps, 2, F.size(found)).alias("after"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>").alias("out"))
+    zipped = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("before"))
+    held_type = "array<struct<start:int,kind:int,end:int>>" if kept else "array<struct<start:int,end:int,value:string>>"
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(held_type).alias("out"))
 
     def step(held: Column, one: Column) -> Column:
         start = held["at"] + F.length(one["before"])
         end = start + F.length(one["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), one["value"].alias("value"), one["before"].alias("before"), one["after"].alias("after"))
-        return F.struct(end.alias("at"), F.array_append(held["out"], span).alias("out"))
+        if kept:
+            kind = kept(one["value"])
+            span = F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"))
+            out = F.when(kind.isNotNull(), F.array_append(held["out"], span)).otherwise(held["out"])
+        else:
+            out = F.array_append(held["out"], F.struct(start.alias("start"), end.alias("end"), one["value"].alias("value")))
+        return F.struct(end.alias("at"), out.alias("out"))
 
     return F.aggregate(zipped, begin, step, lambda held: held["out"])
 
 
-def base_spans(text: Column, context: int) -> Column:
-    """Valid matches of all kinds, by start and then kind, with their contexts."""
+def base_spans(text: Column) -> Column:
+    """Valid matches of all kinds, by start and then kind."""
     def of_kind(number: int, kind: str) -> Column:
         spans = F.transform(
             F.filter(_located(text, PATTERNS[kind]), lambda s: _valid(kind, s["value"])),
@@ -93,8 +99,6 @@ def base_spans(text: Column, context: int) -> Column:
                 F.lit(number).alias("kind"),
                 s["end"].alias("end"),
                 s["value"].alias("value"),
-                F.right(s["before"], F.lit(context)).alias("before"),
-                F.left(s["after"], F.lit(context)).alias("after"),
             ),
         )
         return F.when(F.regexp_like(text, F.lit(_HINTS[kind])), spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
@@ -112,21 +116,47 @@ def written_spans(spans: Column, names: Column | None = None) -> Column:
     return F.array_join(one, ",")
 
 
-def disclosing(terms: DataFrame, settings: Settings) -> DataFrame:
+def bare(text: Column, base: Column) -> Column:
+    """The text with as many blanks for every base span, so that places stay."""
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(held: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], held["at"]), F.greatest(s["end"], held["at"])
+        added = F.array(F.substring(text, held["at"] + 1, start - held["at"]), F.repeat(F.lit(" "), end - start))
+        return F.struct(end.alias("at"), F.concat(held["out"], added).alias("out"))
+
+    blank = F.aggregate(
+        base, begin, step, lambda held: F.concat(F.array_join(held["out"], ""), F.substring(text, held["at"] + 1, F.length(text)))
+    )
+    return F.when(F.size(base) > 0, blank).otherwise(text)
+
+
+def distinct_texts(documents: DataFrame) -> DataFrame:
+    """row (hash of the text), entities and bare text of every distinct text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    once = documents.select(F.xxhash64(text).alias("row"), text.alias("text")).dropDuplicates(["row"])
+    found = once.withColumn("base", base_spans(F.col("text")))
+    names = F.array(*map(F.lit, KINDS))
+    entities = F.transform("base", lambda b: F.concat_ws(":", F.element_at(names, b["kind"] + 1), F.lower(b["value"])))
+    return written(found.select("row", F.array_distinct(entities).alias("entities"), bare(F.col("text"), F.col("base")).alias("bare")))
+
+
+def disclosing(texts: DataFrame, settings: Settings) -> DataFrame:
     """(entity, term, part): terms that give away at least ``generalise`` of a value's content.
 
-    Equal contexts of one value count once, so copies of a document are no evidence. Estimates
-    below the support are dropped before the joins, which leaves few rows of a common term.
+    Equal texts count once, so copies of a document are no evidence. Values in fewer texts than
+    the support cannot reach it and are dropped before they meet terms; estimates below it are
+    dropped before the joins. All counts are combined before they are shuffled.
     """
-    seen = written(terms.select("entity", "context", "term").distinct())
-    contexts = terms.select("entity", "context").distinct()
-    by_entity = contexts.groupBy("entity").agg(F.count("context").alias("n_entity"))
-    total = contexts.agg(F.count("context").alias("n_all"))
-    by_term = seen.groupBy("term").agg(F.count("entity").alias("n_term"))
-    both = written(seen.groupBy("entity", "term").agg(F.count("context").alias("n_both")).filter(F.col("n_both") >= settings.support))
-    n_all = total.first()["n_all"]
+    n_all = texts.count()
+    terms = _terms(F.col("bare"), settings)
+    by_entity = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    by_entity = written(by_entity.filter(F.col("n_entity") >= settings.support))
+    met = texts.select(F.explode("entities").alias("entity"), "bare").join(by_entity.select("entity"), "entity", "left_semi")
+    both = met.select("entity", F.explode(terms).alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    both = written(both.filter(F.col("n_both") >= settings.support))
+    by_term = texts.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     by_term = written(by_term.join(both.select("term").distinct(), "term", "left_semi"))
-    by_entity = written(by_entity.join(both.select("entity").distinct(), "entity", "left_semi"))
     information = F.log(F.lit(float(n_all)) / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * F.lit(float(n_all)) / (F.col("n_term") * F.col("n_entity")))
     return (
@@ -138,57 +168,30 @@ def disclosing(terms: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _terms(text: Column, settings: Settings) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(settings.term), F.lit(0)), F.lower))
+
+
 def spans_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, row (hash of the text), base and terms: arrays of spans per document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    scanned = written(
-        documents.select("doc_id", F.xxhash64(text).alias("row"), base_spans(text, settings.context).alias("base"))
-    )
-    mention = (
-        scanned.filter(F.size("base") > 0)
-        .select("doc_id", "row", "base", F.explode("base").alias("m"))
-        .select(
-            "doc_id",
-            "row",
-            F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("m.kind") + 1), F.lower("m.value")).alias("entity"),
-            F.xxhash64("m.before", "m.after").alias("context"),
-            F.array(
-                F.struct((F.col("m.start") - F.length("m.before")).alias("at"), F.col("m.before").alias("near")),
-                F.struct(F.col("m.end").alias("at"), F.col("m.after").alias("near")),
-            ).alias("sides"),
-        )
-    )
-    side = mention.select("doc_id", "row", "entity", "context", F.explode("sides").alias("s"))
-    terms = written(
-        side.select("doc_id", "row", "entity", "context", F.col("s.at").alias("at"), F.explode(_located(F.col("s.near"), settings.term)).alias("t"))
-        .select(
-            "doc_id",
-            "row",
-            "entity",
-            "context",
-            F.lower("t.value").alias("term"),
-            (F.col("at") + F.col("t.start")).alias("start"),
-            (F.col("at") + F.col("t.end")).alias("end"),
-        )
-    )
-    found = disclosing(terms, settings)
+    slim = F.transform(base_spans(text), lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
+    scanned = written(documents.select("doc_id", F.xxhash64(text).alias("row"), slim.alias("base")))
+    texts = distinct_texts(documents)
     kind = F.when(F.col("part") >= settings.remove, 5).otherwise(4)
-    per_row = (
-        terms.join(found, ["entity", "term"])
-        .groupBy("doc_id", "row", "start", "end")
-        .agg(F.max(kind).alias("kind"))
-        .groupBy("doc_id", "row")
-        .agg(F.collect_list(F.struct("start", "kind", "end")).alias("terms"))
-        .withColumnsRenamed({"doc_id": "_doc", "row": "_row"})
+    marks = written(disclosing(texts, settings).groupBy("term").agg(F.max(kind).alias("kind")))
+    named = written(
+        texts.select("row", F.explode(_terms(F.col("bare"), settings)).alias("term"))
+        .join(marks, "term")
+        .groupBy("row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("named"))
     )
-    joined = scanned.join(per_row, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_row")), "left").drop("_doc", "_row")
+    places = _located(F.col("bare"), settings.term, lambda value: F.try_element_at(F.col("named"), F.lower(value)))
+    per_row = written(texts.join(named, "row").select(F.col("row").alias("_row"), places.alias("terms")))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    free = F.filter(
-        F.coalesce("terms", none),
-        lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])),
-    )
-    slim = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
-    return joined.select("doc_id", "row", slim.alias("base"), free.alias("terms"))
+    joined = scanned.join(per_row, F.col("row") == F.col("_row"), "left")
+    return joined.select("doc_id", "row", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def _names() -> Column:

@@ -223,6 +223,31 @@ def test_terms_that_give_a_value_away(spark, odd):
     assert got[10].n_terms == 0
 
 
+def test_terms_count_and_go_in_whole_texts(spark, odd):
+    """Terms far from the value, in texts without it and in copies, against brute force."""
+    far = " with that from this" * 20
+    texts = [f"Colonel{far} zx@corp.example.com in Quibblesworth{far} {'ghijk'[i] * 5}" for i in range(5)]
+    texts += [f"A clerk{far} {'abcdefghijklmnopqrstuvwxyz'[i] * 6} u{i}@corp.example.com" for i in range(25)]
+    texts += ["no value here but the COLONEL", texts[0], texts[0], "an étécolonel is none"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    words = {t: [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{4,}", mail.sub(lambda m: " " * len(m[0]), t))] for t in texts}
+    share = lambda a, b: {t for t in words if (a is None or a in {w for w, *_ in words[t]}) and (b is None or b in mail.findall(t))}
+    kinds = {}
+    for value in {v for t in texts for v in mail.findall(t)}:
+        for term in {w for t in share(None, value) for w, *_ in words[t]}:
+            both, n_term, n_value, n = len(share(term, value)), len(share(term, None)), len(share(None, value)), len(words)
+            part = math.log(both * n / (n_term * n_value)) / math.log(n / n_value)
+            if both >= 3 and part >= 0.6:
+                kinds[term] = "removed" if part >= 0.9 else "generalised"
+    assert set(kinds) == {"colonel", "quibblesworth"}
+    for r in sanitise.personal_data(docs).collect():
+        spans = [(m.start(), f"email:{m.start()}:{m.end()}") for m in mail.finditer(texts[r.doc_id])]
+        spans += [(a, f"{kinds[w]}:{a}:{b}") for w, a, b in words[texts[r.doc_id]] if w in kinds]
+        assert r.spans == ",".join(x for _, x in sorted(spans))
+    assert all("olonel" not in (r.text or "").replace("étécolonel", "") for r in sanitise.sanitised(docs).collect())
+
+
 def test_nearest_codes(spark, odd):
     pick = np.random.default_rng(5)
     codes = [int(x) for x in pick.integers(-(2**63), 2**63 - 1, 400)] + [17] * 60
