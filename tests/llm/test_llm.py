@@ -365,22 +365,3 @@ def test_pipeline(spark, odd, folder):
     assert second.count() == minmax_dedup.near_duplicates(first).filter("kept").count()
     last = corpus_pipeline.run(spark, folder).toPandas()
     assert last.groupby("sequence_id").length.sum().max() <= 2048
-
-
-def test_pipeline_drops_copies_from_080_on(spark, odd, folder):
-    import corpus_pipeline
-
-    near = corpus_pipeline.NEAR
-    assert (1 - 0.8**near.rows) ** near.bands < 1e-6 and 2 * near.permutations == near.rows * near.bands
-    assert near.agreement < 0.8 - 5 * math.sqrt(0.8 * 0.2 / (2 * near.permutations))
-    word = lambda n, i: f"w{n}x{i}"
-    texts = {}
-    for n in range(20):
-        # 200 words and as many more: 196 of 236 five-word shingles (0.83), or 196 of 256 (0.77)
-        texts[10 * n] = [word(n, i) for i in range(200)]
-        texts[10 * n + 1] = [word(n, i) for i in range(240 if n % 2 else 260)]
-    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()}
-    sets = {d: set(zip(*(t[i:] for i in range(5)), strict=False)) for d, t in texts.items()}
-    want = {d for d in texts if d % 10 == 0 or len(sets[d] & sets[d - 1]) < 0.8 * len(sets[d] | sets[d - 1])}
-    assert kept == want and len(want) == 30
