@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from kymo.llm import divergence, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, toxicity
+from kymo.llm import divergence, hadamard, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, sql, token_counts, toxicity
 from kymo.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+COUNTED_TOKENIZER = "byte_bpe_50k.json"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,6 +63,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_hadamard_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return hadamard.clustered(table(spark, folder, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path(COUNTED_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minmax_near_dedup,
         op9_main_text,
         op10_toxicity,
+        op11_hadamard_kmeans,
+        op13_token_counts,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_hadamard_kmeans": sql.kmeans_sql(),
+}
