@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from kymo.llm import divergence, hadamard, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, sql, token_counts, toxicity
+from kymo.llm import conversation, divergence, hadamard, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, sql, token_counts, toxicity
 from kymo.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -67,6 +67,10 @@ def op11_hadamard_kmeans(spark: SparkSession, folder: str) -> DataFrame:
     return hadamard.clustered(table(spark, folder, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation.repaired(table(spark, folder, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path(COUNTED_TOKENIZER))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_main_text,
         op10_toxicity,
         op11_hadamard_kmeans,
+        op12_conversation_repair,
         op13_token_counts,
     )
 }
