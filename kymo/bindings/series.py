@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from kymo.bindings.registry import DAY, EVENTS_CTE, HOUR, MINUTE, SECOND, query, windows_cte
 from kymo.bindings.splits import dbl
+from kymo.functions import design
 from kymo.functions import signal as sg
+from kymo.operators import filters as fl
 from kymo.operators import series as ts
 from kymo.plans.lanes import attach, measure
 
@@ -400,7 +402,7 @@ def fir_sql(y: str, taps, w: str = "w") -> str:
     return "(" + " + ".join(terms) + ")"
 
 
-TAPS = sg.low_pass(0.333 * 1000, 2500, 4)
+TAPS = design.sinc_low_pass(0.333 * 1000, 2500, 4).tolist()
 
 
 @query("fir_filter", f"""
@@ -408,33 +410,78 @@ WITH {EVENTS_CTE} SELECT event_id, round({fir_sql("value", TAPS)}, 6) AS low FRO
 WINDOW w AS (PARTITION BY user_id ORDER BY t)
 """)
 def _(t):
-    got = ts.fir_filter(ev(t, "event_id", "value"), KEYS, "t", ["t"], "value", TAPS, "low")
+    got = fl.fir_filter(ev(t, "event_id", "value"), KEYS, "t", ["t"], "value", TAPS, "low")
     return got.select("event_id", F.round("low", 6).alias("low"))
 
 
-TWO_BANDS = {"delta": (1, 4), "theta": (3, 10)}
-SMOOTH = sg.high_pass(18, 100, 4)
-
-
+# Designed anew in SQL, at 250 Hz: sincs by cut-off and half length, summed to filters, these
+# convolved with each other, and the products with the samples.
 @query("band_power", f"""
-WITH {EVENTS_CTE}, a AS (SELECT user_id, t, row_number() OVER w AS rn,
-    {fir_sql("value", sg.band_pass(0.1, 20, 100, 4))} AS lmp,
-    {fir_sql("value", sg.band_pass(1, 4, 100, 4))} AS d_,
-    {fir_sql("value", sg.band_pass(3, 10, 100, 4))} AS h_
-    FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t)),
-q AS (SELECT user_id, t, rn, lmp, d_ * d_ AS d2, h_ * h_ AS h2 FROM a),
-b AS (SELECT user_id, t, rn, lmp, {fir_sql("d2", SMOOTH)} AS delta, {fir_sql("h2", SMOOTH)} AS theta
-    FROM q WINDOW w AS (PARTITION BY user_id ORDER BY t)),
-s AS (SELECT user_id, (rn - 1) // 2 AS slot, max(CASE WHEN (rn - 1) % 2 = 1 THEN t END) AS t,
-    avg(delta) AS delta, avg(theta) AS theta, avg(lmp) AS lmp FROM b GROUP BY ALL)
-SELECT user_id, slot, t AS t_us, band, round(power, 6) AS power FROM
-    (UNPIVOT (SELECT * FROM s WHERE t IS NOT NULL) ON delta, theta, lmp INTO NAME band VALUE power)
+WITH {EVENTS_CTE},
+n AS (SELECT user_id, t, value, row_number() OVER (PARTITION BY user_id ORDER BY t) AS rn FROM e),
+l AS (SELECT * FROM (VALUES ('delta', 5.0, 413, 1), ('delta', 0.5, 413, -1), ('theta', 11.25, 207, 1),
+    ('theta', 2.0, 207, -1), ('lmp', 22.5, 4125, 1), ('lmp', 0.05, 4125, -1),
+    ('notch', 60.65, 413, -1), ('notch', 59.35, 413, 1), ('notch', 120.8, 413, -1),
+    ('notch', 119.2, 413, 1), ('smooth', 15.75, 92, -1), ('fold', 22.5, 83, 1)) AS v(name, cut, half, s)),
+r AS (SELECT name, cut, s, k, CASE WHEN k = 0 THEN 1 ELSE sin(pi() * 2 * cut / 250 * k)
+    / (pi() * 2 * cut / 250 * k) END * (0.54 + 0.46 * cos(pi() * k / half)) AS x
+    FROM l, LATERAL (SELECT unnest(range(-half, half + 1)) AS k)),
+p AS (SELECT name, k, s * x / sum(x) OVER (PARTITION BY name, cut) AS x FROM r
+    UNION ALL VALUES ('notch', 0, 1.0), ('smooth', 0, 1.0)),
+b AS MATERIALIZED (SELECT name, k, sum(x) AS x FROM p GROUP BY ALL),
+c AS MATERIALIZED (SELECT b.name, b.k + q.k AS k, sum(b.x * q.x) AS x FROM b, b AS q
+    WHERE q.name = 'notch' AND b.name IN ('delta', 'theta', 'lmp') GROUP BY ALL),
+z AS MATERIALIZED (SELECT o.name, f.k + q.k AS k, sum(f.x * q.x) AS x FROM b AS f, b AS q,
+    (VALUES ('delta'), ('theta')) AS o(name) WHERE f.name = 'fold' AND q.name = 'smooth' GROUP BY ALL
+    UNION ALL SELECT 'lmp', k, x FROM b WHERE name = 'fold'),
+a AS MATERIALIZED (SELECT c.name, i.user_id, i.rn, i.t, sum(j.value * c.x) AS y
+    FROM n AS i JOIN n AS j ON i.user_id = j.user_id JOIN c ON c.k = i.rn - j.rn GROUP BY ALL),
+q AS (SELECT name, user_id, rn, t, CASE WHEN name = 'lmp' THEN y ELSE y * y END AS y FROM a),
+o AS (SELECT i.name, i.user_id, i.rn, i.t, sum(j.y * z.x) AS y
+    FROM q AS i JOIN q AS j ON i.user_id = j.user_id AND i.name = j.name
+    JOIN z ON z.name = i.name AND z.k = i.rn - j.rn WHERE (i.rn - 1) % 5 = 2 GROUP BY ALL)
+SELECT user_id, (rn - 1) // 5 AS slot, t AS t_us, name AS band, round(y, 6) AS power FROM o
 """)
 def _(t):
-    got = ts.band_power(ev(t, "value"), KEYS, "t", "value", 100, TWO_BANDS)
+    got = fl.band_power(ev(t, "value"), KEYS, "t", "value", 250, {"delta": (1, 4), "theta": (3, 10)})
     return got.withColumn("power", F.round("power", 6)).withColumnRenamed("t", "t_us")
 
 
+def recursion_sql(source: str, out: str) -> str:
+    """One pass of the two sections over ``source(user_id, m, x)``, from a constant's state."""
+    (p0, p1, p2, c1, c2), (q0, q1, q2, d1, d2) = [[dbl(x) for x in s] for s in design.butterworth(333.0, 2500.0)]
+    y1, y2 = f"({p0} * s.x + u1)", f"({q0} * ({p0} * s.x + u1) + w1)"
+    step = f"""{y2} AS y,
+        {p1} * s.x - {c1} * {y1} + u2 AS u1, {p2} * s.x - {c2} * {y1} AS u2,
+        {q1} * {y1} - {d1} * {y2} + w2 AS w1, {q2} * {y1} - {d2} * {y2} AS w2"""
+    return f"""
+{out} AS (SELECT user_id, m, {step} FROM (SELECT *, x * ({p1} - {c1} + {p2} - {c2}) AS u1, x * ({p2} - {c2}) AS u2,
+        x * ({q1} - {d1} + {q2} - {d2}) AS w1, x * ({q2} - {d2}) AS w2 FROM {source} WHERE m = 0) AS s
+    UNION ALL SELECT s.user_id, s.m, {step} FROM {out} AS b JOIN {source} AS s
+        ON s.user_id = b.user_id AND s.m = b.m + 1)"""
+
+
+@query("zero_phase_low_pass", f"""
+WITH RECURSIVE {EVENTS_CTE},
+n AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY t) AS rn,
+    count(*) OVER (PARTITION BY user_id) AS n FROM e),
+g AS (SELECT user_id, n, least(15, n - 1) AS pad,
+    max(CASE WHEN rn = 1 THEN value END) AS x0, max(CASE WHEN rn = n THEN value END) AS xn FROM n GROUP BY ALL),
+f AS MATERIALIZED (SELECT user_id, rn + pad - 1 AS m, value AS x FROM n JOIN g USING (user_id)
+    UNION ALL SELECT user_id, pad + 1 - rn, 2 * x0 - value FROM n JOIN g USING (user_id) WHERE rn BETWEEN 2 AND pad + 1
+    UNION ALL SELECT user_id, pad + 2 * g.n - rn - 1, 2 * xn - value FROM n JOIN g USING (user_id)
+    WHERE rn BETWEEN g.n - pad AND g.n - 1),
+{recursion_sql("f", "h")},
+v AS MATERIALIZED (SELECT user_id, n + 2 * pad - 1 - m AS m, y AS x FROM h JOIN g USING (user_id)),
+{recursion_sql("v", "k")}
+SELECT event_id, round(y, 6) AS low FROM k JOIN g USING (user_id)
+JOIN n ON n.user_id = k.user_id AND n.rn = g.n + pad - m
+""")
+def _(t):
+    got = fl.zero_phase_low_pass(ev(t, "event_id", "value"), KEYS, "t", ["t"], "value", 333.0, 2500.0, "low", size=32)
+    return got.select("event_id", F.round("low", 6).alias("low"))
+
+
 @query("drop_nan_samples", """
 SELECT event_id, value FROM events WHERE value <= 100 AND value * 2 >= 1
 """)

@@ -1,10 +1,7 @@
-"""Vector arithmetic and filter taps."""
+"""Vector arithmetic and masks."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,38 +27,3 @@ def outside_box(x: Column, y: Column, bound: float) -> Column:
 def any_nan(vector: Column) -> Column:
     """True if an element of the array is NaN."""
     return F.exists(vector, F.isnan)
-
-
-def low_pass(cut: float, rate: float, half: int) -> list[float]:
-    """Hamming-windowed sinc with ``2 * half + 1`` taps, unit gain at zero."""
-    taps = []
-    for k in range(-half, half + 1):
-        x = 2.0 * cut / rate
-        ideal = x if k == 0 else math.sin(math.pi * x * k) / (math.pi * k)
-        taps.append(ideal * (0.54 + 0.46 * math.cos(math.pi * k / (half or 1))))
-    total = sum(taps)
-    return [t / total for t in taps]
-
-
-def high_pass(cut: float, rate: float, half: int) -> list[float]:
-    """The identity minus the low-pass."""
-    taps = [-t for t in low_pass(cut, rate, half)]
-    taps[half] += 1.0
-    return taps
-
-
-def band_pass(low: float, high: float, rate: float, half: int) -> list[float]:
-    """Difference of two low-passes."""
-    upper, lower = low_pass(high, rate, half), low_pass(low, rate, half)
-    return [u - v for u, v in zip(upper, lower)]
-
-
-def convolve(value: Column, window, taps: Sequence[float]) -> Column:
-    """Weighted sum over the rows around each row; rows outside count as zero."""
-    half = len(taps) // 2
-    total = F.lit(0.0)
-    for i, tap in enumerate(taps):
-        shift = half - i
-        at = F.lag(value, shift) if shift >= 0 else F.lead(value, -shift)
-        total = total + F.coalesce(at.over(window), F.lit(0.0)) * F.lit(tap)
-    return total

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kymo.functions.signal import any_nan, band_pass, convolve, high_pass
+from kymo.functions.signal import any_nan
 from kymo.operators.intervals import covered_points
 from kymo.plans.lanes import (
     LANE,
@@ -21,18 +21,22 @@ from kymo.plans.lanes import (
     Cuts,
     assign_lanes,
     attach,
-    cuts_from,
     exact_median,
-    is_cut,
+    matched,
     measure,
     ordered,
     spread_range,
-    with_halo,
 )
+from kymo.sources.store import kept
 
 SECOND = 1_000_000
 
 
+def _tie(pos: str, order: Sequence[str]) -> str | None:
+    """The column that orders rows of one position."""
+    return next((c for c in order if c != pos), None)
+
+
 def _steps(
     df: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str], t: str, cuts: Cuts
 ) -> DataFrame:
@@ -54,14 +58,18 @@ def sampling_rate(
     Status: ``too_few`` samples, ``not_increasing``, ``irregular`` (spread of the
     steps beyond ``rtol`` of the median), ``ok``.
     """
-    cuts = measure(df, keys, pos)
+    cuts = measure(df, keys, pos, tie=_tie(pos, order))
     steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t, cuts)
-    stats = steps.groupBy(*keys).agg(
+    facts = [
         F.count(F.lit(1)).alias("n_samples"),
         F.min("step_").alias("least_"),
         F.max("step_").alias("most_"),
-    )
-    medians = exact_median(steps, keys, "step_", "median_", cuts)
+    ]
+    if cuts.levels:
+        steps = kept(steps.select(*keys, "step_"))
+        stats = matched(steps.groupBy(*keys).agg(*facts), exact_median(steps, keys, "step_", "median_", cuts), keys)
+    else:
+        stats = steps.groupBy(*keys).agg(*facts, F.percentile("step_", F.lit(0.5)).alias("median_"))
     status = (
         F.when(F.col("n_samples") < 2, "too_few")
         .when(F.col("least_") <= 0, "not_increasing")
@@ -69,8 +77,7 @@ def sampling_rate(
         .otherwise("ok")
     )
     return (
-        stats.join(medians, list(keys), "left")
-        .withColumn("status", status)
+        stats.withColumn("status", status)
         .withColumn("rate_hz", F.when(F.col("status") == "ok", F.lit(SECOND) / F.col("median_")))
         .drop("least_", "most_", "median_")
     )
@@ -90,7 +97,7 @@ def uniformity_check(
 
     The extremes decide for all steps, so one aggregate over them is enough.
     """
-    cuts = measure(df, keys, pos)
+    cuts = measure(df, keys, pos, tie=_tie(pos, order))
     steps = _steps(df.select(*dict.fromkeys([*keys, t, pos, *order])), keys, pos, order, t, cuts)
     stats = steps.groupBy(*keys).agg(
         F.min("step_").alias("least_"),
@@ -149,7 +156,7 @@ def segment_by_median_gap(
         "step_", F.col(t) - F.col("prev_t_")
     )
     medians = exact_median(steps, keys, "step_", "median_", cuts)
-    flagged = attach(steps, medians, keys, cuts.n_keys).withColumn(
+    flagged = attach(steps, medians, keys, cuts).withColumn(
         "new_", F.coalesce(F.col("step_") > F.lit(factor) * F.col("median_"), F.lit(False))
     )
     pieces = _segments(flagged, keys, t, [F.first("median_").alias("median_")])
@@ -208,9 +215,13 @@ def gradient(
     return seen.withColumn(out, slope).drop("pt_", "pv_", "nt_", "nv_")
 
 
-def _frame(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
-    parts = [*keys, LANE] if is_cut(df) else list(keys)
-    return Window.partitionBy(*parts).orderBy(*order)
+def _runs(df: DataFrame, keys: Sequence[str], pos: str, order: Sequence[str], mask: str, value: bool) -> DataFrame:
+    """Number of every sample, of all samples, and of the nearest at or before and at or after it
+    that has the value: what a run's ends say of all samples around them."""
+    laned = df if LANE in df.columns else assign_lanes(df, keys, pos, tie=_tie(pos, order))
+    numbered = ordered(laned, keys, pos, order, number="rn_", totals={"all_": F.lit(1)})
+    mark = F.when(F.col(mask) == value, F.col("rn_"))
+    return ordered(numbered, keys, pos, order, last_known={"before_": mark}, next_known={"after_": mark})
 
 
 def dilate_mask(
@@ -222,12 +233,15 @@ def dilate_mask(
     k: int,
     out: str,
 ) -> DataFrame:
-    """True if any of the ``k`` samples around is true."""
+    """True if any of the ``k`` samples around is true; an unknown sample is not.
+
+    Runs of true are widened at their ends, so the cost does not depend on ``k``.
+    """
     before, after = (k - 1) // 2, k // 2
-    near = with_halo(df, keys, pos, order, before, after)
-    frame = _frame(near, keys, order).rowsBetween(-before, after)
-    kept = [c for c in df.columns]
-    return near.withColumn(out, F.max(mask).over(frame)).filter(~F.col("halo_")).select(*kept, out)
+    near = _runs(df, keys, pos, order, mask, True)
+    held = F.coalesce(F.col("rn_") - F.col("before_") <= before, F.lit(False))
+    held = held | F.coalesce(F.col("after_") - F.col("rn_") <= after, F.lit(False))
+    return near.withColumn(out, held).select(*df.columns, out)
 
 
 def erode_mask(
@@ -239,13 +253,16 @@ def erode_mask(
     k: int,
     out: str,
 ) -> DataFrame:
-    """True if all ``k`` samples around are true; outside the series is false."""
+    """True if none of the ``k`` samples around is false; outside the series is false.
+
+    Runs of false are widened at their ends, so the cost does not depend on ``k``.
+    """
     before, after = k // 2, (k - 1) // 2
-    near = with_halo(df, keys, pos, order, before, after)
-    frame = _frame(near, keys, order).rowsBetween(-before, after)
-    whole = F.min(mask).over(frame) & (F.count(F.lit(1)).over(frame) == k)
-    kept = [c for c in df.columns]
-    return near.withColumn(out, whole).filter(~F.col("halo_")).select(*kept, out)
+    near = _runs(df, keys, pos, order, mask, False)
+    whole = F.coalesce(F.col("rn_") - F.col("before_") > before, F.lit(True))
+    whole = whole & F.coalesce(F.col("after_") - F.col("rn_") > after, F.lit(True))
+    whole = whole & (F.col("rn_") > before) & (F.col("rn_") + after <= F.col("all_"))
+    return near.withColumn(out, whole).select(*df.columns, out)
 
 
 def mask_to_intervals(df: DataFrame, keys: Sequence[str], t: str, mask: str) -> DataFrame:
@@ -282,7 +299,7 @@ def regularize_grid(
     laned = assign_lanes(df.select(*keys, t, value), keys, t, cuts)
     spans = laned.groupBy(*keys).agg(F.min(t).alias("t0_"), F.max(t).alias("tn_"))
     since = F.col(t) - F.col("t0_")
-    placed = attach(laned, spans, keys, cuts.n_keys).withColumn(
+    placed = attach(laned, spans, keys, cuts).withColumn(
         "idx", F.bround(since / F.lit(period), 0).cast("bigint")
     )
     slots = placed.groupBy(*keys, "idx").agg(
@@ -315,7 +332,7 @@ def clock_resets(
 
     For trials a start before the previous ``end`` counts as backwards.
     """
-    laned = df if LANE in df.columns else assign_lanes(df, keys, pos)
+    laned = df if LANE in df.columns else assign_lanes(df, keys, pos, tie=_tie(pos, order))
     seen = ordered(laned, keys, pos, order, prev={"prev_": end or t})
     back = F.coalesce(F.col(t) < F.col("prev_"), F.lit(False)).cast("bigint")
     numbered = ordered(seen.withColumn("back_", back), keys, pos, order, sums={out: "back_"})
@@ -334,7 +351,7 @@ def restitch_blocks(
 ) -> DataFrame:
     """Shift block i to start ``gap`` after the shifted end of block i-1."""
     keys = list(keys)
-    cuts = measure(df, keys, pos)
+    cuts = measure(df, keys, pos, tie=_tie(pos, order))
     laned = assign_lanes(df, keys, pos, cuts)
     blocks = clock_resets(laned, keys, pos, order, t)
     at = F.struct(*order)
@@ -439,14 +456,14 @@ def resample_linear(
         F.min("t").alias("t0_"), F.max("t").alias("tn_"), F.count(F.lit(1)).alias("n_")
     )
     n = F.ceil((F.col("tn_") - F.col("t0_")) / F.lit(step))
-    rows = spans.withColumn("rows_", F.col("n_") + n)
-    cuts = cuts_from(rows, keys, "rows_", "t0_", "tn_")
+    sizes = spans.select(*keys, (F.col("n_") + F.greatest(n, F.lit(0))).alias("n_"))
     grid = spread_range(spans, keys, n, "idx").select(
         *keys, "idx", (F.col("t0_") + F.col("idx") * step).alias("t"), F.lit(1).alias("is_grid_")
     )
     marks = samples.select(
         *keys, "t", F.lit(0).alias("is_grid_"), F.struct("t", F.col("v_").alias("v")).alias("s_")
     ).unionByName(grid, allowMissingColumns=True)
+    cuts = measure(marks, keys, "t", tie="is_grid_", stats=sizes)
     seen = ordered(
         marks,
         keys,
@@ -466,80 +483,6 @@ def resample_linear(
     )
 
 
-def fir_filter(
-    df: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    order: Sequence[str],
-    value: str,
-    taps: Sequence[float],
-    out: str,
-) -> DataFrame:
-    """Convolve with fixed taps along the order; outside the series is zero."""
-    half = len(taps) // 2
-    near = with_halo(df, keys, pos, order, half, half)
-    filtered = near.withColumn(out, convolve(F.col(value), _frame(near, keys, order), taps))
-    return filtered.filter(~F.col("halo_")).select(*df.columns, out)
-
-
-# Band limits in Hz, the unsquared band, and the output rate.
-BANDS = {
-    "delta": (1, 4),
-    "theta": (3, 10),
-    "alpha": (12, 23),
-    "beta": (27, 38),
-    "gamma": (50, 300),
-}
-LMP_BAND = (0.1, 20)
-POWER_HIGH_PASS = 18
-BAND_RATE = 50
-
-
-def band_power(
-    df: DataFrame,
-    keys: Sequence[str],
-    t: str,
-    value: str,
-    rate: int,
-    bands: Mapping[str, tuple[float, float]] | None = None,
-    half: int = 4,
-) -> DataFrame:
-    """Power per band and output slot: filter, square, high-pass, mean per slot.
-
-    The unsquared low band ``lmp`` is always added. One row per recording, slot and
-    band; the slot's stamp is that of its middle sample.
-    """
-    if rate % BAND_RATE:
-        raise ValueError(f"sampling rate must be a multiple of {BAND_RATE}, got {rate}")
-    bands = dict(BANDS if bands is None else bands)
-    keys = list(keys)
-    per_slot = rate // BAND_RATE
-    laned = assign_lanes(df.select(*keys, t, value), keys, t)
-    numbered = ordered(laned, keys, t, number="rn_")
-    near = with_halo(numbered, keys, "rn_", ["rn_"], 2 * half, 2 * half)
-    along = _frame(near, keys, ["rn_"])
-    first = {"lmp": convolve(F.col(value), along, band_pass(*LMP_BAND, rate, half))}
-    for name, (low, high) in bands.items():
-        band = convolve(F.col(value), along, band_pass(low, high, rate, half))
-        first[f"{name}_"] = band * band
-    near = near.withColumns(first)
-    smooth = high_pass(POWER_HIGH_PASS, rate, half)
-    near = near.withColumns({n: convolve(F.col(f"{n}_"), along, smooth) for n in bands})
-    names = [*bands, "lmp"]
-    slot = F.floor((F.col("rn_") - 1) / per_slot)
-    middle = (F.col("rn_") - 1) % per_slot == per_slot // 2
-    slots = (
-        near.filter(~F.col("halo_"))
-        .groupBy(*keys, slot.alias("slot"))
-        .agg(
-            F.max(F.when(middle, F.col(t))).alias("t"),
-            *[F.avg(n).alias(n) for n in names],
-        )
-        .filter(F.col("t").isNotNull())
-    )
-    return slots.unpivot([*keys, "slot", "t"], names, "band", "power")
-
-
 def drop_nan_samples(
     df: DataFrame, scalars: Sequence[str] = (), vectors: Sequence[str] = ()
 ) -> DataFrame:
@@ -623,24 +566,14 @@ def concat_recordings(
         F.bool_or(F.col(started).isNull()).alias("missing_date"),
         (F.min(day) != F.max(day)).alias("days_"),
         (F.min(channels) != F.max(channels)).alias("channel_mismatch"),
-        F.count(F.lit(1)).alias("n_"),
-        *[f(c).alias(a) for f, c, a in (
-            (F.min, started, "t0_"), (F.max, started, "tn_"), (F.min, pos, "p0_"), (F.max, pos, "pn_")
-        )],
-    )
-    ranged = facts.withColumns(
-        {
-            "lo_": F.when(F.col("missing_date"), F.col("p0_")).otherwise(F.col("t0_")),
-            "hi_": F.when(F.col("missing_date"), F.col("pn_")).otherwise(F.col("tn_")),
-        }
     )
-    cuts = cuts_from(ranged, keys, "n_", "lo_", "hi_")
-    facts = facts.drop("n_", "t0_", "tn_", "p0_", "pn_")
-    laned = assign_lanes(parts, keys, pos, cuts)
-    known = attach(laned, facts, keys, cuts.n_keys).drop(LANE)
+    sizes = measure(parts, keys, pos)
+    laned = assign_lanes(parts, keys, pos, sizes)
+    known = attach(laned, facts, keys, sizes).drop(LANE)
     known = known.withColumn(
         "at_", F.when(F.col("missing_date"), F.col(pos)).otherwise(F.col(started))
     )
+    cuts = measure(known, keys, "at_", tie=pos) if sizes.levels else sizes
     length = F.floor(F.col(n_samples) * F.lit(SECOND / rate)).cast("bigint")
     placed = ordered(
         known,

@@ -170,7 +170,7 @@ def stratified_folds(
     """
     cuts = measure_groups(df, [*keys, label])
     shares = _class_shares(df, keys, label, n_folds, val_ratio)
-    known = attach(df, shares, [*keys, label], cuts.n_keys)
+    known = attach(df, shares, [*keys, label], cuts, 64 * n_folds)
     placed = shuffled_rank(known, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
     each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
     place = (F.col("before_") + F.col("rank_") - 1) % n_folds
@@ -187,7 +187,7 @@ def stratified_folds(
         F.col("fold") + F.lit(seed),
         "rank_",
         "total_",
-        cuts.refined(fold=range(n_folds), home_=(True, False)),
+        cuts.refined("fold", "home_"),
     )
     split = (
         F.when(F.col("home_"), TEST)
@@ -290,7 +290,7 @@ def two_stage_trial_split(
     first = shuffled_rank(whole, keys, F.col(ident), seed, "rank_", "total_", cuts)
     held = F.ceil(F.col("total_") * F.lit(test_size))
     first = first.withColumn("held_", F.col("rank_") <= held).drop("rank_", "total_")
-    cuts = cuts.refined(held_=(True, False))
+    cuts = cuts.refined("held_")
     second = shuffled_rank(
         first, [*keys, "held_"], F.col(ident), f"{seed}b", "rank_", "total_", cuts
     )
@@ -465,7 +465,7 @@ def epoch_split_dispatch(
     """Split all stimuli of a recording and unite the parts over stimuli."""
     kept = epochs.filter(~F.col(stimulus).isin(list(skip)))
     pieces = epoch_split(kept, grid, [*recording, stimulus], recording)
-    cuts = measure(kept, recording, "start").refined(split=(TRAIN, VALID, TEST))
+    cuts = measure(kept, recording, "start").refined("split")
     return iv.interval_union(pieces, None, [*recording, "split"], cuts)
 
 
@@ -521,7 +521,7 @@ def coverage_ranked_split(
             F.explode(F.array(*map(F.lit, (TRAIN, VALID, TEST)))).alias("split"),
         ),
         [*keys, "split"],
-        cuts.refined(split=(TRAIN, VALID, TEST)),
+        cuts.refined("split"),
     )
     return long_enough(pieces).drop("paused_")
 

@@ -5,7 +5,6 @@ from kymo.plans.lanes import (
     Cuts,
     assign_lanes,
     attach,
-    cuts_from,
     exact_median,
     measure,
     no_cuts,
@@ -21,7 +20,6 @@ __all__ = [
     "assign_lanes",
     "attach",
     "coverage_changes",
-    "cuts_from",
     "exact_median",
     "measure",
     "no_cuts",

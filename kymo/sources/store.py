@@ -24,6 +24,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/kymo-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: computed once, whoever is lost."""
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_component(
     df: DataFrame, root: str, component: str, partitions: Sequence[str] = PARTITIONS
 ) -> None:

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kymo.functions import signal as sg
 from kymo.operators import series as ts
 
 S = 1_000_000
@@ -146,28 +145,6 @@ def test_resample_equals_numpy(spark, cutting):
     assert np.allclose([r.v for r in got], np.interp(grid, t, v))
 
 
-def test_fir_equals_numpy(spark, cutting):
-    v = np.random.default_rng(2).normal(size=60)
-    taps = sg.low_pass(10, 100, 3)
-    df = spark.createDataFrame(
-        [("r", i, float(x)) for i, x in enumerate(v)], "k string, t bigint, v double"
-    )
-    got = ts.fir_filter(df, ["k"], "t", ["t"], "v", taps, "o").orderBy("t").collect()
-    assert np.allclose([r.o for r in got], np.convolve(v, taps, mode="same"))
-    assert sum(taps) == pytest.approx(1.0)
-
-
-def test_band_power_shape(spark, cutting):
-    rows = [("r", i * 1000, float(np.sin(i / 20))) for i in range(1000)]
-    df = spark.createDataFrame(rows, "k string, t bigint, v double")
-    got = ts.band_power(df, ["k"], "t", "v", 1000)
-    counts = {r.band: r["count"] for r in got.groupBy("band").count().collect()}
-    assert counts == dict.fromkeys(["delta", "theta", "alpha", "beta", "gamma", "lmp"], 50)
-    assert got.agg(F.min("t")).first()[0] == 10_000
-    with pytest.raises(ValueError):
-        ts.band_power(df, ["k"], "t", "v", 75)
-
-
 def test_nan_padding_and_drop(spark):
     a = spark.createDataFrame([(1, 2.0, [1.0, 2.0])], "id int, speed double, pos array<double>")
     b = spark.createDataFrame([(2, [1.0])], "id int, pos array<double>")
