@@ -1,9 +1,10 @@
 """Personal data: patterns, and terms whose co-occurrence gives protected values away.
 
-Protected values are found by pattern. Over the distinct texts, the pointwise mutual information
-of a term and a value that occur in one text is compared with the value's own information content.
-A term that gives away a large enough part of it is generalised, beyond a second threshold removed,
-wherever it occurs. DataFrame functions only.
+Protected values are found by pattern. How strongly a term reveals a value is the probability that
+a text with the term holds the value, estimated over the whole corpus by its lower confidence bound:
+texts with both are counted by classes of near copies, texts with the term alone one by one. A term
+beyond the disclosure threshold is generalised, beyond a second one removed, wherever it occurs.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -38,13 +39,20 @@ TOKENS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 
 @dataclass(frozen=True)
 class Settings:
-    """``support``: distinct texts in which term and value must meet before an estimate counts.
-    Thresholds are parts of the value's information content."""
-
-    support: int = 3
-    generalise: float = 0.6
+    """``generalise`` and ``remove`` are probabilities that a text with the term holds the value;
+    ``z`` is how many standard deviations below the estimate they must still be met (2.5 percent
+    of estimates are that far off). ``support``: classes of near copies in which both meet, which
+    no bound reaches with fewer. ``term``: runs of at least three letters or digits; shorter ones
+    are no terms. ``bands`` of ``rows`` minima find near copies among the texts with a value."""
+
+    support: int = 4
+    generalise: float = 0.5
     remove: float = 0.9
-    term: str = r"\p{L}{4,}"
+    z: float = 1.96
+    term: str = r"[\p{L}\p{N}]{3,}"
+    bands: int = 8
+    rows: int = 4
+    broadcast_terms: int = 500_000
 
 
 def _digits(value: Column) -> Column:
@@ -116,82 +124,117 @@ def written_spans(spans: Column, names: Column | None = None) -> Column:
     return F.array_join(one, ",")
 
 
-def bare(text: Column, base: Column) -> Column:
-    """The text with as many blanks for every base span, so that places stay."""
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
-    def step(held: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], held["at"]), F.greatest(s["end"], held["at"])
-        added = F.array(F.substring(text, held["at"] + 1, start - held["at"]), F.repeat(F.lit(" "), end - start))
-        return F.struct(end.alias("at"), F.concat(held["out"], added).alias("out"))
 
-    blank = F.aggregate(
-        base, begin, step, lambda held: F.concat(F.array_join(held["out"], ""), F.substring(text, held["at"] + 1, F.length(text)))
-    )
-    return F.when(F.size(base) > 0, blank).otherwise(text)
+def _row(text: Column) -> Column:
+    """The text's 128-bit digest."""
+    return F.unhex(F.md5(text))
 
 
-def distinct_texts(documents: DataFrame) -> DataFrame:
-    """row (hash of the text), entities and bare text of every distinct text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    once = documents.select(F.xxhash64(text).alias("row"), text.alias("text")).dropDuplicates(["row"])
-    found = once.withColumn("base", base_spans(F.col("text")))
-    names = F.array(*map(F.lit, KINDS))
-    entities = F.transform("base", lambda b: F.concat_ws(":", F.element_at(names, b["kind"] + 1), F.lower(b["value"])))
-    return written(found.select("row", F.array_distinct(entities).alias("entities"), bare(F.col("text"), F.col("base")).alias("bare")))
+def _terms(text: Column, settings: Settings) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(settings.term), F.lit(0)), F.lower))
 
 
-def disclosing(texts: DataFrame, settings: Settings) -> DataFrame:
-    """(entity, term, part): terms that give away at least ``generalise`` of a value's content.
+def near_classes(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(row, class) of texts (row, terms): those whose minima agree in a band are near copies.
 
-    Equal texts count once, so copies of a document are no evidence. Values in fewer texts than
-    the support cannot reach it and are dropped before they meet terms; estimates below it are
-    dropped before the joins. All counts are combined before they are shuffled.
+    The class is the least row reached; rows take the least of their bands until none changes.
     """
-    n_all = texts.count()
-    terms = _terms(F.col("bare"), settings)
-    by_entity = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    by_entity = written(by_entity.filter(F.col("n_entity") >= settings.support))
-    met = texts.select(F.explode("entities").alias("entity"), "bare").join(by_entity.select("entity"), "entity", "left_semi")
-    both = met.select("entity", F.explode(terms).alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    both = written(both.filter(F.col("n_both") >= settings.support))
-    by_term = texts.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    by_term = written(by_term.join(both.select("term").distinct(), "term", "left_semi"))
-    information = F.log(F.lit(float(n_all)) / F.col("n_entity"))
-    mutual = F.log(F.col("n_both") * F.lit(float(n_all)) / (F.col("n_term") * F.col("n_entity")))
-    return (
-        both.join(by_term, "term")
-        .join(by_entity, "entity")
-        .withColumn("part", F.when(information > 0, mutual / information).otherwise(0.0))
-        .filter(F.col("part") >= settings.generalise)
-        .select("entity", "term", "part")
-    )
-
-
-def _terms(text: Column, settings: Settings) -> Column:
-    """The distinct terms of a text."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(settings.term), F.lit(0)), F.lower))
+    hashed = F.transform("terms", lambda t: F.xxhash64(t))
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform(hashed, lambda h: F.xxhash64(h, F.lit(seed))))
+
+    minima = [least(i) for i in range(settings.bands * settings.rows)]
+    marked = texts.filter(F.size("terms") > 0).select("row", *[m.alias(f"m{i}") for i, m in enumerate(minima)])
+    parts = [[f"m{b * settings.rows + r}" for r in range(settings.rows)] for b in range(settings.bands)]
+    bands = F.array(*[F.xxhash64(F.lit(b), *part) for b, part in enumerate(parts)])
+    links = written(marked.select("row", F.explode(bands).alias("band")))
+    # a band of one text links nothing
+    shared = written(links.join(links.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "band"))
+    state = written(shared.select("row").distinct().select("row", F.col("row").alias("class")))
+    while True:
+        lowest = shared.join(state, "row").groupBy("band").agg(F.min("class").alias("class"))
+        moved = shared.join(lowest, "band").groupBy("row").agg(F.min("class").alias("new"))
+        step = written(state.join(moved, "row").select("row", F.col("new").alias("class"), (F.col("new") < F.col("class")).alias("changed")))
+        state = step.select("row", "class")
+        if step.filter("changed").isEmpty():
+            break
+    return texts.select("row").join(state, "row", "left").select("row", F.coalesce("class", "row").alias("class"))
+
+
+def lower_bound(both: Column, alone: Column, z: float) -> Column:
+    """Wilson's lower bound of a probability from successes and failures."""
+    n = (both + alone).cast("double")
+    p = both / n
+    spread = F.sqrt(p * (1 - p) / n + F.lit(z * z / 4) / (n * n))
+    return (p + F.lit(z * z / 2) / n - F.lit(z) * spread) / (1 + F.lit(z * z) / n)
+
+
+def disclosing(documents: DataFrame, scanned: DataFrame, settings: Settings) -> DataFrame:
+    """(entity, term, bound): terms that reveal a value with at least probability ``generalise``.
+
+    Values in fewer texts than the support cannot reach it, and are dropped before they meet
+    terms; terms that meet no value often enough are dropped before they are counted over all
+    texts. Copies of one document, near ones included, are one piece of evidence.
+    """
+    held = scanned.filter(F.size("entities") > 0).groupBy("row").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("n"))
+    values = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_rows"))
+    values = written(values.filter(F.col("n_rows") >= settings.support).select("entity"))
+    met = written(held.select("row", "n", F.explode("entities").alias("entity")).join(values, "entity", "left_semi"))
+    rows = met.select(F.col("row").alias("_row")).distinct()
+    text = documents.select(_row(_text()).alias("row"), _text().alias("text"))
+    once = text.join(rows, F.col("row") == F.col("_row"), "left_semi").groupBy("row").agg(F.first("text").alias("text"))
+    texts = written(once.select("row", _terms(F.col("text"), settings).alias("terms")))
+    classes = near_classes(texts, settings)
+    pairs = met.join(texts, "row").join(classes, "row").select("entity", "class", "n", F.explode("terms").alias("term"))
+    by_class = pairs.groupBy("entity", "term", "class").agg(F.sum("n").alias("n"))
+    both = by_class.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_classes"), F.sum("n").alias("n_both"))
+    both = written(both.filter(F.col("n_classes") >= settings.support))
+    wanted = written(both.select("term").distinct())
+    every = documents.select(F.explode(_terms(_text(), settings)).alias("term"))
+    if wanted.count() <= settings.broadcast_terms:
+        # at most as many terms as counted; others never leave their task
+        every = every.join(F.broadcast(wanted), "term", "left_semi")
+        by_term = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    else:
+        by_term = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
+    bound = lower_bound(F.col("n_classes"), F.col("n_term") - F.col("n_both"), settings.z)
+    return both.join(by_term, "term").withColumn("bound", bound).filter(F.col("bound") >= settings.generalise).select("entity", "term", "bound")
 
 
 def spans_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, row (hash of the text), base and terms: arrays of spans per document."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    slim = F.transform(base_spans(text), lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
-    scanned = written(documents.select("doc_id", F.xxhash64(text).alias("row"), slim.alias("base")))
-    texts = distinct_texts(documents)
-    kind = F.when(F.col("part") >= settings.remove, 5).otherwise(4)
-    marks = written(disclosing(texts, settings).groupBy("term").agg(F.max(kind).alias("kind")))
+    """doc_id, row (digest of the text), base and terms: arrays of spans per document."""
+    names = F.array(*map(F.lit, KINDS))
+    slim = F.transform("found", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
+    entities = F.transform("found", lambda b: F.concat_ws(":", F.element_at(names, b["kind"] + 1), F.lower(b["value"])))
+    found = documents.select("doc_id", _row(_text()).alias("row"), base_spans(_text()).alias("found"))
+    scanned = written(found.select("doc_id", "row", slim.alias("base"), F.array_distinct(entities).alias("entities")))
+    kind = F.when(F.col("bound") >= settings.remove, 5).otherwise(4)
+    marks = written(disclosing(documents, scanned, settings).groupBy("term").agg(F.max(kind).alias("kind")))
+    each = documents.select(_row(_text()).alias("row"), F.explode(_terms(_text(), settings)).alias("term"))
+    few = marks.count() <= settings.broadcast_terms
     named = written(
-        texts.select("row", F.explode(_terms(F.col("bare"), settings)).alias("term"))
-        .join(marks, "term")
+        each.join(F.broadcast(marks) if few else marks, "term")
+        .select("row", "term", "kind")
+        .distinct()
         .groupBy("row")
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("named"))
     )
-    places = _located(F.col("bare"), settings.term, lambda value: F.try_element_at(F.col("named"), F.lower(value)))
-    per_row = written(texts.join(named, "row").select(F.col("row").alias("_row"), places.alias("terms")))
+    texts = documents.select(_row(_text()).alias("row"), _text().alias("text")).join(named, "row").groupBy("row").agg(
+        F.first("text").alias("text"), F.first("named").alias("named")
+    )
+    places = _located(F.col("text"), settings.term, lambda value: F.try_element_at(F.col("named"), F.lower(value)))
+    per_row = written(texts.select(F.col("row").alias("_row"), places.alias("terms")))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     joined = scanned.join(per_row, F.col("row") == F.col("_row"), "left")
-    return joined.select("doc_id", "row", "base", F.coalesce("terms", none).alias("terms"))
+    apart = F.filter(
+        F.coalesce("terms", none), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    )
+    return joined.select("doc_id", "row", "base", apart.alias("terms"))
 
 
 def _names() -> Column:
@@ -201,7 +244,7 @@ def _names() -> Column:
 def personal_data(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per document: doc_id, counts per kind, n_terms, base_sha256, spans.
 
-    A null text is an empty one without spans. Rows that repeat a doc_id and text get equal
+    A term inside a base span adds none. A null text is an empty one without spans. Rows that repeat a doc_id and text get equal
     results; further columns are ignored; overlapping spans of several kinds all stay.
     """
     found = spans_of(documents, settings)
@@ -228,9 +271,8 @@ def sanitised(documents: DataFrame, settings: Settings = Settings()) -> DataFram
         F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.array_sort(F.concat("base", "terms")).alias("_spans")
     )
     found = found.filter(F.size("_spans") > 0).dropDuplicates(["_doc", "_row"])
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     tokens = F.array(*(F.lit(TOKENS[k]) for k in (*KINDS, "generalised", "removed")))
-    joined = documents.withColumn("_hash", F.xxhash64(text)).join(
+    joined = documents.withColumn("_hash", _row(_text())).join(
         found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_row")), "left"
     )
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))

@@ -215,37 +215,62 @@ def test_personal_data(spark, odd, none):
     assert sanitise.personal_data(odd).count() == odd.count() and sanitise.personal_data(none).count() == 0
 
 
-def test_terms_that_give_a_value_away(spark, odd):
-    rows = [(i, f"the colonel number{i} wrote kilo{'abcdef'[i]} from zx@corp.example.com today", None, None, 0, None, 1) for i in range(5)]
-    rows += [(10 + i, f"the clerk wrote item from u{i}@corp.example.com today about{'abcdefghijkl'[i]}", None, None, 0, None, 1) for i in range(12)]
-    got = {r.doc_id: r for r in sanitise.personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert "removed:4:11" in got[0].spans  # the colonel
-    assert got[10].n_terms == 0
-
-
-def test_terms_count_and_go_in_whole_texts(spark, odd):
-    """Terms far from the value, in texts without it and in copies, against brute force."""
-    far = " with that from this" * 20
-    texts = [f"Colonel{far} zx@corp.example.com in Quibblesworth{far} {'ghijk'[i] * 5}" for i in range(5)]
-    texts += [f"A clerk{far} {'abcdefghijklmnopqrstuvwxyz'[i] * 6} u{i}@corp.example.com" for i in range(25)]
-    texts += ["no value here but the COLONEL", texts[0], texts[0], "an étécolonel is none"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+def _filler(seed, n=40):
+    """Words of a document of its own."""
+    pick = np.random.default_rng(seed)
+    return " ".join("".join(pick.choice(list("bcdfgh"), 7)) for _ in range(n))
+
+
+def _disclosing(texts, group):
+    """Terms by kind: lower bound of the probability of a value, copies counted once."""
     mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-    words = {t: [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{4,}", mail.sub(lambda m: " " * len(m[0]), t))] for t in texts}
-    share = lambda a, b: {t for t in words if (a is None or a in {w for w, *_ in words[t]}) and (b is None or b in mail.findall(t))}
+    words = [{m.lower() for m in re.findall(r"[^\W_]{3,}", t)} for t in texts]
     kinds = {}
-    for value in {v for t in texts for v in mail.findall(t)}:
-        for term in {w for t in share(None, value) for w, *_ in words[t]}:
-            both, n_term, n_value, n = len(share(term, value)), len(share(term, None)), len(share(None, value)), len(words)
-            part = math.log(both * n / (n_term * n_value)) / math.log(n / n_value)
-            if both >= 3 and part >= 0.6:
-                kinds[term] = "removed" if part >= 0.9 else "generalised"
-    assert set(kinds) == {"colonel", "quibblesworth"}
+    for value in {v.lower() for t in texts for v in mail.findall(t)}:
+        have = [value in (v.lower() for v in mail.findall(t)) for t in texts]
+        for term in set().union(*(w for w, h in zip(words, have, strict=True) if h)):
+            k = len({g for w, h, g in zip(words, have, group, strict=True) if h and term in w})
+            n = k + sum(term in w and not h for w, h in zip(words, have, strict=True))
+            z, share = 1.96, k / n
+            low = (share + z * z / 2 / n - z * math.sqrt(share * (1 - share) / n + z * z / 4 / n / n)) / (1 + z * z / n)
+            if k >= 4 and low >= 0.5:
+                kinds[term] = max(kinds.get(term, ""), "removed" if low >= 0.9 else "generalised")
+    return kinds, mail
+
+
+def test_terms_that_disclose_a_value(spark, odd):
+    """In copies and near copies, far from the value, and in texts without it, by brute force."""
+    texts = [f"Colonel {_filler(i)} zx@corp.example.org of Quibble7 {_filler(100 + i)}" for i in range(8)]
+    texts += [f"A clerk {_filler(200 + i)} u{i}@corp.example.org" for i in range(12)]
+    # three near copies hold a value and words of their own: no evidence
+    base = f"{_filler(300)} the orchard {_filler(301)} y@other.example.org"
+    texts += [base, base + " one", base + " two", base]
+    texts += [f"an orchard {_filler(400 + i)}" for i in range(20)] + ["no value but the COLONEL", "an \u00e9t\u00e9colonel is none"]
+    # a term with its value in nearly all of many texts
+    texts += [f"{_filler(500 + i)} major {_filler(600 + i)} m@army.example.org" for i in range(60)]
+    group = [*range(20), 20, 20, 20, 20, *range(21, 21 + 82)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds, mail = _disclosing(texts, group)
+    assert {"colonel": "generalised", "quibble7": "generalised", "major": "removed"}.items() <= kinds.items()
+    assert "orchard" not in kinds and "clerk" not in kinds
     for r in sanitise.personal_data(docs).collect():
-        spans = [(m.start(), f"email:{m.start()}:{m.end()}") for m in mail.finditer(texts[r.doc_id])]
-        spans += [(a, f"{kinds[w]}:{a}:{b}") for w, a, b in words[texts[r.doc_id]] if w in kinds]
+        text = texts[r.doc_id]
+        held = [(m.start(), m.end()) for m in mail.finditer(text)]
+        spans = [(a, f"email:{a}:{b}") for a, b in held]
+        for m in re.finditer(r"[^\W_]{3,}", text):
+            if m[0].lower() in kinds and not any(a < m.end() and m.start() < b for a, b in held):
+                spans.append((m.start(), f"{kinds[m[0].lower()]}:{m.start()}:{m.end()}"))
         assert r.spans == ",".join(x for _, x in sorted(spans))
-    assert all("olonel" not in (r.text or "").replace("étécolonel", "") for r in sanitise.sanitised(docs).collect())
+    clean = {r.doc_id: r.text for r in sanitise.sanitised(docs).collect()}
+    assert all("orchard" in clean[i] for i in range(20, 44)) and all("olonel" not in t.replace("\u00e9t\u00e9colonel", "") for t in clean.values())
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_terms_alike_by_broadcast_and_by_shuffle(spark, odd, few):
+    texts = [f"Colonel {_filler(i)} zx@corp.example.org" for i in range(6)] + [f"clerk {_filler(50 + i)}" for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sanitise.personal_data(docs, sanitise.Settings(broadcast_terms=few)).collect()
+    assert sorted(r.n_terms for r in got) == [0] * 6 + [1] * 6
 
 
 def test_nearest_codes(spark, odd):
