@@ -8,8 +8,8 @@ by weighted dot product of need and used-up shares, or by the smallest residual
 
 from __future__ import annotations
 
+import struct
 import zlib
-from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,41 +27,58 @@ _PIECES = pa.schema(
 
 @dataclass(frozen=True)
 class Settings:
-    """``documents`` and ``cost`` cap a sequence's pieces and its attention cost; the default
-    cost is that of one full piece, so it never costs a sequence."""
+    """``documents`` and ``cost`` cap a sequence's pieces and its attention cost; the defaults are
+    as many pieces as tokens and the cost of one full piece, so neither costs a sequence. Lower
+    ones bind."""
 
     tokens: int = 2048
-    documents: int = 512
+    documents: int = 2048
     cost: int = 2048 * 2048
     weights: tuple[float, float, float] = (1.0, 0.02, 0.02)
     rule: str = "norm"
     group_docs: int = 4000
 
 
+def _visible() -> dict[int, str]:
+    """Bytes as the byte-level vocabulary writes them: printable ones as they are, the others as
+    the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class _Cache(dict):
-    """Ids of the stretches between single spaces; emptied when full.
+    """Ids of the stretches between spaces; what was not asked for since the last turn goes.
 
-    A stretch that ends in one comma or full stop after a letter is two pre-tokens, and the
-    vocabulary knows lower case only, so the cache holds stems rather than spellings.
+    A stretch that ends in one comma or full stop after a letter is two words. Letters alone, of
+    the Latin blocks without combining marks, are one word, which the model cuts directly.
     """
 
     limit = 600_000
 
-    def __init__(self, encode: Callable[[str], np.ndarray]):
+    def __init__(self, tokenizer):
         super().__init__()
-        self.encode = encode
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.visible = _visible()
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, part: str) -> list[int]:
+        if part.isalpha() and max(part) < "\u0250" and (low := part.lower()).isalpha():
+            word = low if low.isascii() else low.encode().decode("latin-1").translate(self.visible)
+            return [token.id for token in self.model.tokenize(word)]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
 
     def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            if len(part) > 1 and part[-1] in ",." and part[-2].lower().isalpha():
+                ids = self[part[:-1]] + self[part[-1]]
+            else:
+                found = self.ids(part) if part else []
+                ids = struct.pack(f"<{len(found)}I", *found)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        if not part:
-            ids = b""
-        elif part.isascii() and not part.islower() and part.isalpha():
-            ids = self[part.lower()]
-        elif len(part) > 1 and part[-1] in ",." and part[-2].isalpha():
-            ids = self[part[:-1]] + self[part[-1]]
-        else:
-            ids = np.array(self.encode(part), "<u4").tobytes()
         self[part] = ids
         return ids
 
@@ -73,9 +90,7 @@ def _encoder(path: str) -> _Cache:
     if path not in _held:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _held[path] = _Cache(lambda part: tokenizer.encode(part, add_special_tokens=False).ids)
+        _held[path] = _Cache(Tokenizer.from_file(path))
     return _held[path]
 
 

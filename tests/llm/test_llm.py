@@ -82,6 +82,26 @@ def test_packing(odd, none):
     assert packing.packed(none, tokenizer_path()).count() == 0
 
 
+def test_packing_ids_are_those_of_whole_texts():
+    """Random texts with special strings, capitals, combining marks and stops; a small cache."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    pick = np.random.default_rng(9)
+    bits = ["a", "Be", "\u00c9t\u00e9", "\u0131", "\u01c5", "\u017f", "\u0130", "\u0130.", "\u00e9,", "\u03a3", "\u03a3.", "\u00df.", "x.", "Y,", "z..", " ", " ", "\n", "\t", "\u00a0", "7.", "'s", "e\u0301.", "\u65e5.", "<|endoftext|>", "<|startoftext|>.", "<|ENDOFTEXT|>", "<|", "|>", "-", "\U0001f44d"]
+    cache = packing._Cache(tokenizer)
+    cache.limit = 50
+    for _ in range(4000):
+        text = "".join(pick.choice(bits, pick.integers(0, 25)))
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(packing.ids_of(text, cache), "<u4").tolist() == want, text
+
+
+def test_packing_of_empty_documents(spark, odd):
+    docs = spark.range(4000).selectExpr("id as doc_id", "cast(null as string) as text")
+    assert packing.packed(docs, tokenizer_path()).select("sequence_id").distinct().count() == 2
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_packing_holds_every_capacity(rule):
     settings = packing.Settings(tokens=100, documents=3, cost=3000, rule=rule)
@@ -387,6 +407,31 @@ def test_pipeline(spark, odd, folder):
     first = corpus_pipeline.drop_toxic(spark, docs, folder)
     assert first.columns == docs.columns and first.count() == docs.count() - toxic.count()
     second = corpus_pipeline.drop_near_duplicates(spark, first, folder)
-    assert second.count() == minmax_dedup.near_duplicates(first).filter("kept").count()
+    assert second.count() == minmax_dedup.near_duplicates(first, corpus_pipeline.NEAR).filter("kept").count()
     last = corpus_pipeline.run(spark, folder).toPandas()
     assert last.groupby("sequence_id").length.sum().max() <= 2048
+
+
+def test_pipeline_drops_copies_from_080_on(spark, odd, folder):
+    """Five-word shingles by brute force; rows that repeat an id and text leave one."""
+    import corpus_pipeline
+
+    near = corpus_pipeline.NEAR
+    assert (1 - 0.8**near.rows) ** near.bands < 1e-6 and 2 * near.permutations == near.rows * near.bands
+    assert near.agreement < 0.8 - 5 * math.sqrt(0.8 * 0.2 / (2 * near.permutations))
+    word = lambda n, i: f"w{n}x{i}"
+    texts = {}
+    for n in range(20):
+        # 200 words and as many more: 196 of 236 five-word shingles (0.83), or 196 of 256 (0.77)
+        texts[10 * n] = [word(n, i) for i in range(200)]
+        texts[10 * n + 1] = [word(n, i) for i in range(240 if n % 2 else 260)]
+    rows = [(d, " ".join(t), "en") for d, t in texts.items()]
+    rows += [rows[0], rows[0], (500, None, "en"), (500, None, "en"), (501, "", "en"), (None, "a b", "en"), (None, "a b", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    sets = {d: set(zip(*(t[i:] for i in range(5)), strict=False)) for d, t in texts.items()}
+    want = [d for d in texts if d % 10 == 0 or len(sets[d] & sets[d - 1]) < 0.8 * len(sets[d] | sets[d - 1])]
+    found = [(r.doc_id, r.lang) for r in kept.collect()]
+    assert len(want) == 30 and sorted(d for d, _ in found if d is not None) == sorted([*want, 500, 501])
+    assert [x for d, x in found if d is None] == ["de"] and kept.columns == docs.columns
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), folder).count() == 0
