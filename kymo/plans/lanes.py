@@ -224,7 +224,8 @@ def _levels(rows: DataFrame, hot: DataFrame, size: int, keys: list[str], tie: st
             F.kll_sketch_agg_bigint(axis, F.lit(SKETCH)).alias("sketch_"), F.first("n_").alias("n_")
         )
         # all the quantiles a level may need, and of these as many as a key has parts
-        grid = F.kll_sketch_get_quantile_bigint("sketch_", F.array(*[F.lit(i / FAN) for i in range(1, FAN)]))
+        ranks = ", ".join(f"{i / FAN!r}D" for i in range(1, FAN))
+        grid = F.kll_sketch_get_quantile_bigint("sketch_", F.expr(f"array({ranks})"))
         chosen = F.transform(
             F.sequence(F.lit(1), part - 1), lambda i: F.get("grid_", F.floor(i * FAN / part).cast("int") - 1)
         )
