@@ -609,7 +609,41 @@ def _columns(text: str) -> list[str]:
     return [*out, part]
 
 
-@query("recording_groups", """
+# Short names: nations for their paths, halves of a region for nations, halves for halves.
+GROUP_NAMES = """
+SELECT lower(n_name) AS name, concat(r_name, '/', n_name) AS target FROM {n} JOIN {r} ON r_regionkey = n_regionkey
+UNION ALL SELECT concat('half ', n_nationkey % 2, ' of ', lower(r_name)), lower(n_name)
+FROM {n} JOIN {r} ON r_regionkey = n_regionkey
+UNION ALL SELECT concat('half ', n_nationkey % 2), concat('half ', n_nationkey % 2, ' of ', lower(r_name))
+FROM {n} JOIN {r} ON r_regionkey = n_regionkey
+UNION ALL SELECT 'everything', 'all' UNION ALL SELECT 'everything', 'half 1'
+"""
+
+
+@query("recording_groups", f"""
+WITH RECURSIVE c AS (SELECT r_name, n_name, c_mktsegment, c_custkey FROM customer
+    JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+m AS (SELECT 'all' AS group_path, c_custkey FROM c UNION ALL SELECT r_name, c_custkey FROM c
+    UNION ALL SELECT r_name || '/' || n_name, c_custkey FROM c
+    UNION ALL SELECT r_name || '/' || n_name || '/' || c_mktsegment, c_custkey FROM c),
+names AS ({GROUP_NAMES.format(n="nation", r="region")}),
+reached AS (SELECT name, target FROM names
+    UNION SELECT reached.name, names.target FROM reached JOIN names ON names.name = reached.target)
+SELECT group_path, c_custkey FROM m
+UNION ALL SELECT DISTINCT name, c_custkey FROM reached JOIN m ON m.group_path = target
+""")
+def _(t):
+    c = (
+        t.table("customer")
+        .join(t.table("nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+        .join(t.table("region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    )
+    members = mf.recording_groups(c, ["r_name", "n_name", "c_mktsegment"], "c_custkey", whole="all")
+    names = t.spark.sql(GROUP_NAMES, n=t.table("nation"), r=t.table("region"))
+    return members.unionByName(mf.named_groups(members, names, "c_custkey"))
+
+
+@query("group_sizes", """
 WITH c AS (SELECT r_name, n_name, c_mktsegment, c_custkey FROM customer
     JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
 SELECT concat_ws('/', r_name, n_name, c_mktsegment) AS group_path, count(*) AS n_recordings

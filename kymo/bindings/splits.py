@@ -370,9 +370,8 @@ def _epoch_query(name: str, n: int):
     """)
     def _(t):
         got = sp.epoch_split(
-            epochs(t), grid(t), ["user_id", "event_type", "week"], ["user_id", "week"]
-        )
-        got = got.filter(F.col("n_epochs") == n).drop("n_epochs")
+            epochs(t), grid(t), ["user_id", "event_type", "week"], ["user_id", "week"], only=n
+        ).drop("n_epochs")
         return got.withColumnsRenamed({"start": "start_us", "end": "end_us"})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kymo.functions import metadata as md
 from kymo.functions import paths as ph
+from kymo.sources.store import kept
 
 
 def bids_parse(df: DataFrame, path: str) -> DataFrame:
@@ -371,15 +372,67 @@ def resolve_split_recordings(requests: DataFrame) -> DataFrame:
     )
 
 
-def recording_groups(members: DataFrame, levels: Sequence[str], ident: str) -> DataFrame:
+def recording_groups(
+    members: DataFrame, levels: Sequence[str], ident: str, whole: str | None = None
+) -> DataFrame:
     """Membership table: one row per recording and group path it belongs to.
 
-    A parent holds the recordings of its children.
+    A parent holds the recordings of its children. A recording whose place at some level is
+    unknown belongs to the levels above only. ``whole`` names a group of all recordings.
+    """
+    # a path with an unknown part is null
+    paths = [
+        F.concat(*[x for name in levels[: i + 1] for x in (F.lit("/"), F.col(name).cast("string"))][1:])
+        for i in range(len(levels))
+    ]
+    if whole is not None:
+        paths.insert(0, F.lit(whole))
+    each = members.select(F.explode(F.array(*paths)).alias("group_path"), ident)
+    return each.filter(F.col("group_path").isNotNull())
+
+
+def group_name_paths(names: DataFrame) -> DataFrame:
+    """What every short name stands for, names of names followed to the end.
+
+    ``names`` has a row (name, target) per part of a name; a target is a group path or another
+    name. Every pass joins the reached targets with themselves, so chains of n names take
+    log2(n) passes, and a pass keeps every pair once, however many ways lead there. Names that
+    lead back to themselves are an error. Rows with a null name or target say nothing.
+    """
+    reached = kept(names.select("name", "target").dropna().distinct())
+    n_pairs = reached.count()
+    while True:
+        onward = reached.select(F.col("name").alias("target"), F.col("target").alias("onward_"))
+        further = reached.join(onward, "target").select("name", F.col("onward_").alias("target"))
+        reached = kept(reached.union(further).distinct())
+        circle = reached.filter(F.col("name") == F.col("target")).first()
+        if circle:
+            raise ValueError(f"group name {circle['name']} leads back to itself")
+        before, n_pairs = n_pairs, reached.count()
+        if before == n_pairs:
+            break
+    defined = names.select(F.col("name").alias("target")).distinct()
+    return reached.join(defined, "target", "left_anti").select(
+        "name", F.col("target").alias("group_path")
+    )
+
+
+def named_groups(membership: DataFrame, names: DataFrame, ident: str) -> DataFrame:
+    """Membership rows of short names: a name holds the recordings of all it stands for, each once.
+
+    A target that is neither a name nor a group holds nothing; ``unknown_targets`` lists those.
     """
-    paths = F.array(
-        *[F.concat_ws("/", *levels[: i + 1]) for i in range(len(levels))]
+    return (
+        membership.join(group_name_paths(names), "group_path")
+        .select(F.col("name").alias("group_path"), ident)
+        .distinct()
     )
-    return members.select(F.explode(paths).alias("group_path"), ident)
+
+
+def unknown_targets(membership: DataFrame, names: DataFrame) -> DataFrame:
+    """Short names that stand for a group that is not there."""
+    groups = membership.select("group_path").distinct()
+    return group_name_paths(names).join(groups, "group_path", "left_anti").select("name", "group_path")
 
 
 def group_sizes(members: DataFrame, levels: Sequence[str], ident: str) -> DataFrame:

@@ -25,6 +25,7 @@ from kymo.functions.hashing import (
 )
 from kymo.operators import intervals as iv
 from kymo.plans.lanes import Cuts, attach, measure, no_cuts, ordered
+from kymo.sources.store import kept
 
 
 def shuffled_rank(
@@ -108,9 +109,9 @@ def causal_ratio_split(domain: DataFrame, ratios: tuple[float, float, float]) ->
 
 
 def _class_shares(
-    df: DataFrame, keys: Sequence[str], label: str, n_folds: int, val_ratio: float
+    counts: DataFrame, keys: Sequence[str], label: str, n_folds: int, val_ratio: float
 ) -> DataFrame:
-    """Per class: items in the classes before it, and its valid items in every fold.
+    """Per class of ``n_`` items: items in the classes before it, its valid items in every fold.
 
     Test items follow the running number over all classes, so folds differ by one
     item at most. In each fold ``ceil(ratio * rest)`` items are valid; classes get
@@ -120,8 +121,7 @@ def _class_shares(
     keys = list(keys)
     in_order = Window.partitionBy(*keys).orderBy(label)
     classes = (
-        df.groupBy(*keys, label)
-        .agg(F.count(F.lit(1)).alias("c_"))
+        counts.select(*keys, label, F.col("n_").alias("c_"))
         .withColumn("before_", F.sum("c_").over(in_order) - F.col("c_"))
         .withColumn("fold_", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
     )
@@ -161,15 +161,19 @@ def stratified_folds(
     n_folds: int = 5,
     val_ratio: float = 0.2,
     seed: int = 42,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Each item once in test over the folds, classes spread evenly.
 
     One row per item and fold: the item's shuffled rank in its class picks its test
     fold; in the other folds the rest of the class is shuffled again and its leading
-    share is valid.
+    share is valid. ``counts`` gives the items per class (``n_``) where they are known
+    without reading ``df``.
     """
-    cuts = measure_groups(df, [*keys, label])
-    shares = _class_shares(df, keys, label, n_folds, val_ratio)
+    if counts is None:
+        counts = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n_"))
+    cuts = measure(df, [*keys, label], "", bounds=DIGEST_RANGE, stats=counts)
+    shares = _class_shares(counts, keys, label, n_folds, val_ratio)
     known = attach(df, shares, [*keys, label], cuts, 64 * n_folds)
     placed = shuffled_rank(known, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
     each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
@@ -230,22 +234,28 @@ def sleep_splits(
     """Epochs per fold and part, with the subject's and the session's assignment.
 
     Stages are cut into epochs, unknown and rare stages dropped, the rest folded by
-    stage; the string folds of the subject and of subject_session ride along.
+    stage; the string folds of the subject and of subject_session stand beside. Epochs
+    are counted per stage from the lengths, so only those that stay are unfolded.
     """
+    pieces = F.greatest(F.floor((F.col("end") - F.col("start")) / epoch), F.lit(0))
+    known = stages.filter(~F.col(label).isin(list(unknown))) if unknown else stages
+    counts = kept(
+        known.groupBy(recording, label)
+        .agg(F.sum(pieces).cast("bigint").alias("n_"))
+        .filter(F.col("n_") >= n_folds)
+    )
     person = F.col(subject).cast("string")
     both = F.concat_ws("_", person, F.col(session).cast("string"))
-    named = stages.withColumns(
+    common = known.join(counts.drop("n_"), [recording, label], "left_semi").withColumns(
         {
             "person_parts_": string_kfold(person, n_folds, val_ratio, seed),
             "both_parts_": string_kfold(both, n_folds, val_ratio, seed),
         }
     )
-    epochs = iv.interval_subdivide(named, epoch)
-    epochs = rare_class_filter(epochs, [recording], label, n_folds, unknown)
-    epochs = epochs.withColumn(
+    epochs = iv.interval_subdivide(common, epoch).withColumn(
         "epoch_", F.concat_ws("_", F.col(ident).cast("string"), F.col("start").cast("string"))
     )
-    folds = stratified_folds(epochs, [recording], label, "epoch_", n_folds, val_ratio, seed)
+    folds = stratified_folds(epochs, [recording], label, "epoch_", n_folds, val_ratio, seed, counts)
     at = F.col("fold") + 1
     return folds.withColumns(
         {
@@ -372,16 +382,46 @@ EPOCH_CUTS = {
 MANY_EPOCHS_RATIOS = (0.6, 0.1, 0.3)
 
 
+def _within(rows: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are among the chosen ones, nulls included."""
+    there = chosen.select(*[F.col(k).alias(f"{k}_chosen_") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_chosen_")) for k in keys]
+    return rows.join(there, same, "left_semi")
+
+
+def _checked_ratios(ratios: Sequence[float]) -> tuple[float, float, float]:
+    if len(ratios) != 3 or any(r < 0 for r in ratios) or abs(sum(ratios) - 1) > 1e-6:
+        raise ValueError(f"three shares of one are needed, not {ratios}")
+    train, valid, test = ratios
+    return train, valid, test
+
+
 def epoch_split(
-    epochs: DataFrame, grid: DataFrame, keys: Sequence[str], grid_keys: Sequence[str]
+    epochs: DataFrame,
+    grid: DataFrame,
+    keys: Sequence[str],
+    grid_keys: Sequence[str],
+    only: int | None = None,
+    ratios: Sequence[float] = MANY_EPOCHS_RATIOS,
 ) -> DataFrame:
     """Split every group of epochs by the rule for its size, cuts snapped to the grid.
 
     ``keys`` name a group (recording and stimulus), ``grid_keys`` the recording.
     All sizes run in one plan: each epoch knows its place and the group's size, at
-    most two cut times per group are snapped, and pieces follow by case.
+    most two cut times per group are snapped, and pieces follow by case. ``only`` takes
+    groups of one size, and of the grid what belongs to them. ``ratios`` are the shares
+    of a lone epoch.
     """
     keys, grid_keys = list(keys), list(grid_keys)
+    rules = EPOCH_CUTS | {1: (1, _checked_ratios(ratios)[:2])}
+    group_cuts = None
+    if only is not None:
+        sizes = epochs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_"))
+        chosen = kept(sizes.filter(F.col("n_") == only).select(*keys))
+        epochs = _within(epochs, chosen, keys)
+        grid = _within(grid, chosen, grid_keys)
+        if only <= max(EPOCH_CUTS):
+            group_cuts = no_cuts(keys)
     cuts = iv.measure_times([(epochs, "start"), (grid, "start")], grid_keys)
     placed = ordered(
         epochs.select(*keys, "start", "end"),
@@ -390,10 +430,11 @@ def epoch_split(
         ["start", "end"],
         number="i_",
         totals={"n_": F.lit(1)},
+        cuts=group_cuts,
     )
     length = F.col("end") - F.col("start")
     one, two = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
-    for n, (which, shares) in EPOCH_CUTS.items():
+    for n, (which, shares) in rules.items():
         here = (F.col("n_") == n) & (F.col("i_") == which)
         cut = F.col("start") + F.floor(length * F.lit(shares[0])).cast("bigint")
         if n > 2:

@@ -163,6 +163,28 @@ def test_groups(spark):
         mf.group_members(members, "zzz")
 
 
+def test_group_names(spark):
+    rows = [("a", "x", 1), ("a", "y", 2), ("b", "x", 3), ("b", None, 4), (None, "z", 5)]
+    df = spark.createDataFrame(rows, "p string, q string, id int")
+    members = mf.recording_groups(df, ["p", "q"], "id", whole="all")
+    held = sorted((r.group_path, r.id) for r in members.collect())
+    assert held == sorted(
+        [("all", i) for i in range(1, 6)] + [("a", 1), ("a", 2), ("b", 3), ("b", 4), ("a/x", 1), ("a/y", 2), ("b/x", 3)]
+    )
+    # a chain of seven names, two ways to one group, a target that is not there, an unknown one
+    pairs = [(f"n{i}", f"n{i + 1}") for i in range(6)] + [("n6", "a/x"), ("n3", "b"), ("n0", "b"), ("odd", "no"), ("odd", None)]
+    names = spark.createDataFrame(pairs, "name string, target string")
+    got = {}
+    for r in mf.named_groups(members, names, "id").collect():
+        got.setdefault(r.group_path, []).append(r.id)
+    want = {f"n{i}": [1, 3, 4] if i < 4 else [1] for i in range(7)}
+    assert {k: sorted(v) for k, v in got.items()} == want
+    assert [tuple(r) for r in mf.unknown_targets(members, names).collect()] == [("odd", "no")]
+    circle = spark.createDataFrame(pairs + [("n6", "n2")], "name string, target string")
+    with pytest.raises(ValueError, match="leads back"):
+        mf.group_name_paths(circle)
+
+
 def test_descriptions(spark):
     rows = [("m1", "MOUSE", "12.5", "F"), ("", "MOUSE", "-1", ""), ("m3", None, "old", None)]
     got = ds.describe_subject(

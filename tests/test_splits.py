@@ -195,6 +195,29 @@ def test_rest_dilated(spark, cutting):
     assert [(r.start, r.end) for r in got] == [(0, 19), (41, 100)]
 
 
+def test_epoch_split_of_one_size(spark):
+    frame = "rec string, stim string, start bigint, end bigint"
+    sizes = {("r", "a"): 1, ("r", "b"): 3, (None, "a"): 3, ("s", "c"): 8, ("t", "a"): 1}
+    rows = [(*k, 100 * i + 7, 100 * i + 57) for k, n in sizes.items() for i in range(n)]
+    epochs = spark.createDataFrame(rows, frame)
+    grid = spark.createDataFrame(
+        [(k, 10 * i, 10 * i + 10) for k in ("r", "s", None) for i in range(90)], "rec string, start bigint, end bigint"
+    )
+    whole = sp.epoch_split(epochs, grid, ["rec", "stim"], ["rec"]).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    for n in (3, 8):
+        want = sorted((r for r in whole if r.n_epochs == n), key=key)
+        got = sorted(sp.epoch_split(epochs, grid, ["rec", "stim"], ["rec"], only=n).collect(), key=key)
+        assert got == want
+    halves = sp.epoch_split(epochs, grid, ["rec", "stim"], ["rec"], only=1, ratios=(0.2, 0.4, 0.4))
+    assert [(r.split, r.start, r.end) for r in halves.filter("rec = 't'").orderBy("start").collect()] == [
+        ("train", 7, 17), ("valid", 17, 37), ("test", 37, 57),
+    ]
+    for wrong in ((0.5, 0.5), (0.5, 0.6, -0.1), (0.5, 0.1, 0.1)):
+        with pytest.raises(ValueError):
+            sp.epoch_split(epochs, grid, ["rec", "stim"], ["rec"], ratios=wrong)
+
+
 def test_sleep_splits(spark, cutting):
     rows = [("r", "p", "n1", i, i % 3, i * 90, i * 90 + 95) for i in range(12)]
     rows += [("r", "p", "n1", 90, 6, 2000, 2600), ("r", "p", "n1", 91, 4, 3000, 3060)]

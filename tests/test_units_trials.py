@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kymo.operators import selection as sel
 from kymo.operators import trials as tr
 from kymo.operators import units as un
+from kymo.plans import lanes
 
 S = 1_000_000
 
@@ -51,6 +52,21 @@ def test_regions(spark, cutting):
     assert [(r.t, r.unit_index) for r in fired.orderBy("idx").collect()] == [(1, 0), (5, 2), (9, 0)]
 
 
+def test_a_region_of_many_units_is_cut(spark):
+    units = spark.range(20_000).selectExpr("id AS unit", "CAST(id % 2 AS bigint) AS rank")
+    spark.conf.set(lanes.HOT_ROWS_CONF, "2000")
+    spark.conf.set(lanes.LANE_ROWS_CONF, "1000")
+    try:
+        cut = lanes.assign_lanes(units.withColumn("k", F.lit(0)), ["k"], "rank", None, "unit")
+        assert cut.groupBy(lanes.LANE).count().agg(F.max("count")).first()[0] <= 2000
+        got = un.dense_unit_index(units, [], "rank", ["rank", "unit"])
+        want = F.col("rank") * 10_000 + F.floor(F.col("unit") / 2)
+        assert got.filter(F.col("unit_index") != want).count() == 0 and got.count() == 20_000
+    finally:
+        spark.conf.unset(lanes.HOT_ROWS_CONF)
+        spark.conf.unset(lanes.LANE_ROWS_CONF)
+
+
 def test_rename_maps(spark):
     rows = [("swap", "a", "b", 0), ("swap", "b", "a", 1), ("same", "a", "a", 0),
             ("twice", "a", "z", 0), ("twice", "b", "z", 1)]
