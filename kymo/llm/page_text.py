@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -23,13 +23,9 @@ _OUT = pa.schema(
     [("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_blocks", pa.int64()), ("n_kept", pa.int64())]
 )
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|textarea|select|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_HEAD = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
+_RAW = re.compile(r"<(script|style|noscript|template|svg|textarea|select|iframe|title)\b", re.I)
+_MARK = re.compile(r"[>\"']")
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HREF = re.compile(r"\bhref\b", re.I)
 
@@ -68,88 +64,161 @@ class Settings:
     scale: int = 100
 
 
+@dataclass(slots=True)
+class Element:
+    """An open element: its marks include those of what encloses it."""
+
+    name: str
+    parent: Element | None
+    depth: int
+    against: bool = False
+    within: bool = False
+    named: bool = False
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[int, ...]  # ids of the enclosing elements
-    against: bool
-    within: bool
-    named: bool
+    element: Element
     heading: bool
     linked: int
 
 
+def _following(page: str, mark: re.Pattern[str]):
+    """Where the next mark stands, the page's length if nowhere; for places asked in page order."""
+    place = -1
+
+    def following(at: int) -> int:
+        nonlocal place
+        if place < at:
+            found = mark.search(page, at)
+            place = found.start() if found else len(page)
+        return place
+
+    return following
+
+
+def _tag_ends(page: str):
+    """Where a tag's ``>`` outside quotes stands, -1 if it never comes; for places in page order.
+
+    What follows an opening quote is looked up once, however many broken tags run into it.
+    """
+    known: dict[int, int] = {}
+    first = _following(page, _MARK)
+
+    def end(at: int) -> int:
+        passed = []
+        here = first(at)
+        while here < len(page) and page[here] != ">":
+            if here in known:
+                here = known[here]
+                break
+            passed.append(here)
+            close = page.find(page[here], here + 1)
+            found = _MARK.search(page, close + 1) if close >= 0 else None
+            here = found.start() if found else len(page)
+        if here == len(page):
+            here = -1
+        for quote in passed:
+            known[quote] = here
+        return here
+
+    return end
+
+
+def tags(page: str):
+    """(start, end, name, closing, attributes) of every tag in page order, in one pass.
+
+    The name is None for comments, declarations and broken end tags, and "raw" for elements
+    whose content is not text. A tag that does not end is text.
+    """
+    tag_end, next_end = _tag_ends(page), _following(page, re.compile(">"))
+    start = page.find("<")
+    while start >= 0:
+        end, name, closing, attributes = -1, None, False, ""
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            end = close + 3 if close >= 0 else len(page)
+        elif (raw := _RAW.match(page, start)) and next_end(raw.end()) < len(page):
+            close = re.compile(rf"</{raw[1]}\s*>", re.I).search(page, next_end(raw.end()) + 1)
+            end, name = close.end() if close else len(page), "raw"
+        elif (head := _HEAD.match(page, start)) and (last := tag_end(head.end())) >= 0:
+            end, name, closing, attributes = last + 1, head[2].lower(), bool(head[1]), page[head.end() : last]
+        elif page[start + 1 : start + 2] in ("!", "?", "/") and next_end(start + 2) < len(page):
+            end = next_end(start + 2) + 1
+        if end >= 0:
+            yield start, end, name, closing, attributes
+        start = page.find("<", end if end >= 0 else start + 1)
+
+
 def blocks(page: str | None) -> list[Block]:
     """Text blocks in page order, with what encloses them. Broken markup is read as browsers do:
     an end tag closes up to its start tag, one without start is ignored, a new paragraph or list
-    item closes the one before."""
+    item closes the one before. Time and memory grow with the page's length, however it is nested."""
     out: list[Block] = []
     if not page:
         return out
-    # (name, id, against, within, named)
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    top = Element("", None, 0)
+    open_names: Counter[str] = Counter()
     parts: list[str] = []
-    linked = number = 0
+    linked = 0
     in_link = False
 
+    def is_heading(element):
+        return element is not None and element.name[:1] == "h" and element.name[1:].isdigit()
+
     def flush():
         nonlocal linked
         if parts:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                top = stack[-1]
-                out.append(
-                    Block(text, tuple(e[1] for e in stack), top[2], top[3], top[4], any(e[0][:1] == "h" and e[0][1:].isdigit() for e in stack[-2:]), min(linked, len(text)))
-                )
+                out.append(Block(text, top, is_heading(top) or is_heading(top.parent), min(linked, len(text))))
             parts.clear()
         linked = 0
 
-    def close(name):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == name:
-                del stack[i:]
-                return
+    def pop():
+        nonlocal top
+        open_names[top.name] -= 1
+        top = top.parent
 
     at = 0
-    for tag in _TAG.finditer(page):
-        if tag.start() > at:
-            piece = page[at : tag.start()]
+    for start, end, name, closing, attributes in tags(page):
+        if start > at:
+            piece = page[at:start]
             parts.append(piece)
             if in_link:
                 linked += len(piece)
-        at = tag.end()
-        name = tag[3]
+        at = end
         if name is None:
-            if tag[1]:
-                parts.append(" ")
             continue
-        name = name.lower()
         if name == "a":
-            in_link = not tag[2] and bool(_HREF.search(tag[4]))
+            in_link = not closing and bool(_HREF.search(attributes))
         elif name in BLOCKS:
             flush()
-            if tag[2]:
+            if closing:
                 in_link = False
-                close(name)
+                if open_names[name]:
+                    while top.name != name:
+                        pop()
+                    pop()
             elif name not in VOID:
-                if stack[-1][0] == "p" or stack[-1][0] == name in ("li", "dd", "dt", "td", "tr", "option"):
-                    stack.pop()
-                number += 1
-                _, _, against, within, named = stack[-1]
+                if top.name == "p" or top.name == name in ("li", "dd", "dt", "td", "tr", "option"):
+                    pop()
+                top = Element(name, top, top.depth + 1, top.against, top.within, top.named)
+                open_names[name] += 1
                 if name in FOR:
-                    within = True
+                    top.within = True
                 elif name in AGAINST:
-                    against = True
-                if tag[4]:
-                    marks = " ".join(m.strip("\"'") for m in _NAMES.findall(tag[4]))
+                    top.against = True
+                if attributes:
+                    marks = " ".join(m.strip("\"'") for m in _NAMES.findall(attributes))
                     if marks and name not in ("html", "body"):
                         if AGAINST_NAMES.search(marks):
-                            against = True
+                            top.against = True
                         elif FOR_NAMES.search(marks):
-                            named = True
-                stack.append((name, number, against, within, named))
-        elif name in ("br", "img", "input", "wbr"):
+                            top.named = True
+        elif name in ("raw", "br", "img", "input", "wbr"):
             parts.append(" ")
     if at < len(page):
         parts.append(page[at:])
@@ -165,40 +234,30 @@ def cost(block: Block, s: Settings) -> float:
         value += s.sentence
     if block.heading:
         value += s.heading
-    if block.named:
+    if block.element.named:
         value += s.named
-    if block.within:
+    if block.element.within:
         value += s.within
-    if block.against:
+    if block.element.against:
         value += s.against
     return value
 
 
 def ties(found: list[Block], s: Settings):
-    """(i, j, weight): neighbours in the page, and the next block below the same elements."""
-    last: dict[int, int] = {}
-    for j, block in enumerate(found):
-        seen = set()
-        if j:
-            shared = _shared(found[j - 1].path, block.path)
-            apart = len(found[j - 1].path) + len(block.path) - 2 * shared
-            yield j - 1, j, s.next_block / (1 + apart)
-            seen.add(j - 1)
-        for steps, element in enumerate(reversed(block.path[1:])):
-            i = last.get(element)
-            if i is not None and i not in seen:
-                yield i, j, s.near_block / (1 + 2 * steps)
-                seen.add(i)
-            last[element] = j
-
-
-def _shared(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    n = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n
+    """(i, j, weight): neighbours in the page, the weaker the further apart in the tree."""
+    for j in range(1, len(found)):
+        yield j - 1, j, s.next_block / (1 + _apart(found[j - 1].element, found[j].element))
+
+
+def _apart(a: Element, b: Element) -> int:
+    """Steps from one element to the other; few in all for neighbours, since tags lie between."""
+    steps = 0
+    while a is not b:
+        if a.depth < b.depth:
+            a, b = b, a
+        a = a.parent
+        steps += 1
+    return steps
 
 
 def source_side(terminal: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
