@@ -64,7 +64,7 @@ class Settings:
     scale: int = 100
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Element:
     """An open element: its marks include those of what encloses it."""
 
@@ -244,9 +244,23 @@ def cost(block: Block, s: Settings) -> float:
 
 
 def ties(found: list[Block], s: Settings):
-    """(i, j, weight): neighbours in the page, the weaker the further apart in the tree."""
-    for j in range(1, len(found)):
-        yield j - 1, j, s.next_block / (1 + _apart(found[j - 1].element, found[j].element))
+    """(i, j, weight): neighbours in the page, the weaker the further apart in the tree, and the
+    last blocks right below the same element and right below a sibling of it, where others lie
+    between. At most three for a block."""
+    below: dict[Element, int] = {}
+    beside: dict[Element, int] = {}
+    for j, block in enumerate(found):
+        here, around = block.element, block.element.parent
+        if j:
+            yield j - 1, j, s.next_block / (1 + _apart(found[j - 1].element, here))
+        same, sibling = below.get(here), beside.get(around) if around else None
+        if same is not None and same != j - 1:
+            yield same, j, s.near_block
+        if sibling is not None and sibling not in (j - 1, same):
+            yield sibling, j, s.near_block / 3
+        below[here] = j
+        if around:
+            beside[around] = j
 
 
 def _apart(a: Element, b: Element) -> int:
