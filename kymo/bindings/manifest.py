@@ -13,6 +13,7 @@ from kymo.operators import descriptions as ds
 from kymo.operators import jobs
 from kymo.operators import manifest as mf
 from kymo.sources import catalog as cat
+from kymo.sources import digests as dg
 from kymo.sources import store
 
 # --- sources ------------------------------------------------------------------
@@ -244,19 +245,40 @@ def _(t):
     return cat.read_checksums(t.spark, path)
 
 
-@query("verify_checksum", """
-SELECT doc_id, lang <> 'es' AND lang <> 'de' AS digest_ok,
-    CASE WHEN lang <> 'es' AND lang <> 'de' THEN 'skip' ELSE 'fetch' END AS action FROM documents
-""")
-def _(t):
-    d = t.table("documents")
-    listed = d.filter(F.col("lang") != "de").select(
-        "doc_id",
-        F.md5(F.when(F.col("lang") == "es", F.concat("text", "source")).otherwise(F.col("text")))
-        .alias("md5"),
-    )
-    got = cat.verify_checksum(d.select("doc_id", "text"), listed, ["doc_id"], F.md5("text"))
-    return got.drop("text")
+# Bytes of a part, and documents of a written file
+ETAG_PART, VOLUME = 4096, 16
+
+
+@query("verify_checksum", f"""
+WITH f AS (SELECT doc_id // {VOLUME} AS volume,
+    encode(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS b FROM documents GROUP BY volume),
+n AS (SELECT *, CAST(ceil(octet_length(b) / {ETAG_PART}.0) AS BIGINT) AS n FROM f)
+SELECT volume, md5(unhex(array_to_string(list_transform(range(n), lambda i:
+        md5(b[i * {ETAG_PART} + 1:(i + 1) * {ETAG_PART}])), ''))) || '-' || n AS etag,
+    volume % 5 > 1 AS digest_ok, CASE WHEN volume % 5 > 1 THEN 'skip' ELSE 'fetch' END AS action FROM n
+""")
+def _(t):
+    texts = F.array_sort(F.collect_list(F.struct("doc_id", "text")))
+    volumes = (
+        t.table("documents")
+        .groupBy(F.expr(f"doc_id div {VOLUME}").alias("volume"))
+        .agg(F.array_join(F.transform(texts, lambda r: r["text"]), "\n").alias("text"))
+    )
+    folder = store.scratch_dir(t.spark)
+    volumes.write.partitionBy("volume").text(folder)
+    # a fifth of the list is out of date, a fifth is missing
+    body = F.encode(F.concat("text", F.when(F.col("volume") % 5 == 1, " \n").otherwise("\n")), "UTF-8")
+    parts = F.ceil(F.octet_length(body) / ETAG_PART)
+    digests = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), parts - 1),
+        lambda i: F.md5(F.substring(body, (i * ETAG_PART + 1).cast("int"), F.lit(ETAG_PART))),
+    )
+    etag = F.concat(F.md5(F.unhex(F.array_join(digests, ""))), F.lit("-"), parts.cast("string"))
+    listed = volumes.filter("volume % 5 > 0").select("volume", etag.alias("md5"))
+    volume = F.regexp_extract("name", "^volume=([0-9]+)/", 1).cast("bigint")
+    found = dg.multipart_digests(t.spark, folder, ETAG_PART).withColumn("volume", volume)
+    got = cat.verify_checksum(found, listed, ["volume"], F.col("etag"))
+    return got.select("volume", "etag", "digest_ok", "action")
 
 
 @query("static_manifest", """

@@ -21,16 +21,6 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """MD5 of every file below a folder."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select(F.col("path").alias("key"), F.md5("content").alias("md5"))
-    )
-
-
 def file_catalog(keys: DataFrame, key: str, prefix: str, out: str = "relative") -> DataFrame:
     """Keys under the prefix with what follows it."""
     return keys.withColumn(out, ph.relative_key(F.col(key), prefix)).filter(

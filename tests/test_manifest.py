@@ -1,5 +1,6 @@
 """Listing, entity paths, participants, metadata and jobs."""
 
+import hashlib
 import json
 
 import pytest
@@ -11,6 +12,7 @@ from kymo.operators import descriptions as ds
 from kymo.operators import jobs
 from kymo.operators import manifest as mf
 from kymo.sources import catalog as cat
+from kymo.sources import digests as dg
 from kymo.sources import store
 from kymo.streaming.arrivals import process_arrivals
 
@@ -105,7 +107,7 @@ def test_files_on_disk(spark, tmp_path):
     (tmp_path / "in" / "sub" / "b.txt").write_text("hello")
     root = str(tmp_path / "in")
     assert {r.key.rsplit("/", 1)[1]: r.length for r in cat.list_files(spark, root).collect()}["b.txt"] == 5
-    digests = {r.key.rsplit("/", 1)[1]: r.md5 for r in cat.file_digests(spark, root).collect()}
+    digests = {r.key.rsplit("/", 1)[1]: r.md5 for r in dg.file_digests(spark, root).collect()}
     assert digests["b.txt"] == "5d41402abc4b2a76b9719d911017c592"
     recs = spark.createDataFrame([("a",), ("z",)], "stem string")
     got = cat.attach_sidecar(recs, cat.read_json_sidecars(spark, root), ["stem"], "rate int")
@@ -114,6 +116,58 @@ def test_files_on_disk(spark, tmp_path):
     }
 
 
+def test_digests_by_ranges(spark, tmp_path, monkeypatch):
+    root = tmp_path / "in"
+    (root / "sub").mkdir(parents=True)
+    data = {"a.bin": bytes(range(256)) * 40, "empty": b"", "sub/exact": b"x" * 200, "sub/one": b"y"}
+    for name, content in data.items():
+        (root / name).write_bytes(content)
+    (root / "_SUCCESS").write_bytes(b"z")
+    (root / ".a.crc").write_bytes(b"z")
+    monkeypatch.setattr(dg, "TASK_BYTES", 1000)
+    monkeypatch.setattr(dg, "OPEN_BYTES", 10)
+    monkeypatch.setattr(dg, "READ_BYTES", 7)
+
+    def md5(x):
+        return hashlib.md5(x)
+
+    def etag(x, size):
+        parts = [md5(x[i : i + size]).digest() for i in range(0, max(len(x), 1), size)]
+        return f"{md5(b''.join(parts)).hexdigest()}-{len(parts)}"
+
+    whole = {r.name: (r.length, r.md5) for r in dg.file_digests(spark, str(root)).collect()}
+    assert whole == {n: (len(x), md5(x).hexdigest()) for n, x in data.items()}
+    for size in (100, 10_240, 1 << 20):
+        got = {r.name: r.etag for r in dg.multipart_digests(spark, f"file:{root}/", size).collect()}
+        assert got == {n: etag(x, size) for n, x in data.items()}
+    # one file is spread over tasks
+    parts = dg.part_digests(spark, str(root), 100)
+    tasks = parts.filter("name = 'a.bin'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 10
+    listed = spark.createDataFrame(
+        [("a.bin", etag(data["a.bin"], 100)), ("sub/one", "0-1"), ("gone", "1-1")], "name string, md5 string"
+    )
+    checked = {r.name: r.action for r in dg.verify_files(spark, str(root), listed, part_bytes=100).collect()}
+    assert checked == {"a.bin": "skip", "empty": "fetch", "sub/exact": "fetch", "sub/one": "fetch"}
+    listed = spark.createDataFrame([("sub/one", md5(b"y").hexdigest())], "name string, md5 string")
+    checked = {r.name: r.digest_ok for r in dg.verify_files(spark, str(root), listed).collect()}
+    assert checked == {"a.bin": False, "empty": False, "sub/exact": False, "sub/one": True}
+    (tmp_path / "none").mkdir()
+    assert dg.multipart_digests(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        dg.multipart_digests(spark, str(root), 0)
+
+
+def test_digest_of_a_file_that_shrinks(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 5000)
+    source = dg._source()({"path": str(tmp_path), "partBytes": "0"})
+    reader = source.reader(None)
+    (partition,) = reader.partitions()
+    (tmp_path / "a").write_bytes(b"x" * 10)
+    with pytest.raises(OSError, match="early"):
+        list(reader.read(partition))
+
+
 def test_participants(spark, tmp_path):
     path = tmp_path / "participants.tsv"
     path.write_text("participant_id\tage\tsex\nsub-01\t34\tF\nsub-02\tn/a\tN/A\nsub-03\t28\tM\n")
