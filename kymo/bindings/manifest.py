@@ -14,6 +14,7 @@ from kymo.operators import jobs
 from kymo.operators import manifest as mf
 from kymo.sources import catalog as cat
 from kymo.sources import digests as dg
+from kymo.sources import snapshots as snap
 from kymo.sources import store
 
 # --- sources ------------------------------------------------------------------
@@ -307,10 +308,19 @@ def _(t):
         "value",
     )
     root = store.scratch_dir(t.spark)
-    store.write_recording({"series": rows, "copies": rows.filter(F.col("value") > 100)}, root)
+
+    def tables(r):
+        return {"series": r, "copies": r.filter(F.col("value") > 100)}
+
+    # an earlier commit is replaced, also where a recording has no copies left; a write without a
+    # commit is not seen
+    earlier = rows.withColumn("value", F.col("value") * 2)
+    snap.write_recording(tables(earlier), root)
+    snap.write_recording(tables(rows), root, recordings=rows.select("dataset_id", "recording_id").distinct())
+    snap.stage({"series": earlier}, root)
     schema = "event_id bigint, t bigint, value double, dataset_id string, recording_id bigint"
-    series = store.read_component(t.spark, root, "series", schema)
-    copies = store.read_component(t.spark, root, "copies", schema)
+    series = snap.read_component(t.spark, root, "series", schema)
+    copies = snap.read_component(t.spark, root, "copies", schema)
     return series.withColumn("component", F.lit("series")).unionByName(
         copies.withColumn("component", F.lit("copies"))
     )

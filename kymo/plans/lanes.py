@@ -68,7 +68,7 @@ def matched(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "le
     return rows.join(named, condition, how).drop(*[f"{c}_of_table_" for c in on])
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, on: Sequence[str], n_bytes: int) -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, on: Sequence[str], n_bytes: int) -> DataFrame:
     """Left join of a table of one row per ``on`` with rows of which one key may hold many."""
     if n_bytes <= BROADCAST_BYTES:
         return matched(rows, F.broadcast(table), on)
@@ -176,7 +176,7 @@ def measure(
     axes = [F.col(pos).cast("bigint").alias("axis_pos_")]
     if tie:
         axes.append(_axis(df, tie).alias("axis_tie_"))
-    rows = _looked_up(df.select(*keys, *axes), hot, keys, size).filter("n_ is not null").drop("n_")
+    rows = looked_up(df.select(*keys, *axes), hot, keys, size).filter("n_ is not null").drop("n_")
     return replace(cuts, levels=tuple(_levels(rows, hot, size, keys, tie)))
 
 
@@ -219,7 +219,7 @@ def _levels(rows: DataFrame, hot: DataFrame, size: int, keys: list[str], tie: st
     for depth in range(8):
         wanted = F.ceil(F.col("n_") / lane_rows)
         part = F.least(wanted, F.lit(FAN)).cast("int")
-        met = _looked_up(rows, parts.select(*here, "n_"), here, size).filter("n_ is not null")
+        met = looked_up(rows, parts.select(*here, "n_"), here, size).filter("n_ is not null")
         sketch = met.groupBy(*here).agg(
             F.kll_sketch_agg_bigint(axis, F.lit(SKETCH)).alias("sketch_"), F.first("n_").alias("n_")
         )
@@ -272,7 +272,7 @@ def _place(marks: Column, value: Column) -> Column:
 def _stepped(rows: DataFrame, level: Level, on: Sequence[str], axis: str) -> DataFrame:
     """Add the level's step to ``lane_so_far_``, the lane so far; null for keys that are not cut."""
     first = "lane_so_far_" not in rows.columns
-    met = _looked_up(rows, level.table, on, level.n_bytes)
+    met = looked_up(rows, level.table, on, level.n_bytes)
     if level.even:
         step = F.floor((F.col(axis) - F.col("lo_")) / F.col("width_")).cast("bigint")
         return met.withColumn("lane_so_far_", F.greatest(step, F.when(step.isNotNull(), F.lit(0)))).drop("lo_", "width_")
@@ -612,7 +612,7 @@ def exact_median(
         size = (cuts.key_bytes + (cuts.n_keys or 0) * 16 * (len(keys) + 2)) * 2
         size = size if cuts.n_keys is not None else BROADCAST_BYTES + 1
         above = F.shiftrightunsigned(bits, shift + DIGIT) if shift + DIGIT < 64 else F.lit(0).cast("bigint")
-        near = _looked_up(rows.withColumn("bits_", above), asked.withColumn("met_", F.lit(True)), [*keys, "bits_"], size)
+        near = looked_up(rows.withColumn("bits_", above), asked.withColumn("met_", F.lit(True)), [*keys, "bits_"], size)
         digit = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << DIGIT) - 1)) if shift else bits.bitwiseAND(F.lit((1 << DIGIT) - 1))
         found = near.filter("met_").groupBy(*keys, "bits_", digit.alias("digit_")).agg(F.count(F.lit(1)).alias("c_"))
         joined = matched(found, state, [*keys, "bits_"], "inner")

@@ -1,10 +1,9 @@
-"""Recordings on disk: one Parquet table per component, partitioned by recording."""
+"""The cluster's shared folder, and the columns recordings are partitioned by."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,31 +29,3 @@ def kept(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def write_component(
-    df: DataFrame, root: str, component: str, partitions: Sequence[str] = PARTITIONS
-) -> None:
-    """Replace the written recordings of one component and leave the others.
-
-    Rebalancing gathers a recording's rows into few files, and still splits a
-    recording that is too large for one.
-    """
-    (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(f"{root}/{component}")
-    )
-
-
-def write_recording(tables: dict[str, DataFrame], root: str) -> None:
-    """Write all component tables."""
-    for component, df in tables.items():
-        write_component(df, root, component)
-
-
-def read_component(spark: SparkSession, root: str, component: str, schema: str) -> DataFrame:
-    """Read one component with its declared schema; filters on the keys prune folders."""
-    return spark.read.schema(schema).parquet(f"{root}/{component}")

@@ -13,7 +13,7 @@ from kymo.operators import jobs
 from kymo.operators import manifest as mf
 from kymo.sources import catalog as cat
 from kymo.sources import digests as dg
-from kymo.sources import store
+from kymo.sources import snapshots as snap
 from kymo.streaming.arrivals import process_arrivals
 
 
@@ -284,13 +284,64 @@ def test_run_manifest_isolates_failures(spark):
     assert jobs.incremental_skip(items, items, ["i"], reprocess=True).count() == 6
 
 
+FRAME = "dataset_id string, recording_id string, v int"
+
+
+def values(spark, root, component="spikes"):
+    got = snap.read_component(spark, root, component, "v int, dataset_id string, recording_id string")
+    return {(r.recording_id, r.v) for r in got.collect()}
+
+
 def test_write_recording_replaces_only_what_is_written(spark, tmp_path):
-    frame = "dataset_id string, recording_id string, v int"
-    first = spark.createDataFrame([("d", "a", 1), ("d", "b", 2)], frame)
-    store.write_recording({"spikes": first}, str(tmp_path))
-    store.write_recording({"spikes": spark.createDataFrame([("d", "b", 9)], frame)}, str(tmp_path))
-    got = store.read_component(spark, str(tmp_path), "spikes", "v int, dataset_id string, recording_id string")
-    assert {(r.recording_id, r.v) for r in got.collect()} == {("a", 1), ("b", 9)}
+    root = str(tmp_path / "out")
+    assert values(spark, root) == set() and snap.committed(spark, root).count() == 0
+    first = spark.createDataFrame([("d", "a", 1), ("d", "b", 2), ("d", None, 3), ("d", "", 4)], FRAME)
+    snap.write_recording({"spikes": first, "trials": first}, root)
+    snap.write_recording({"spikes": spark.createDataFrame([("d", "b", 9)], FRAME)}, root)
+    assert values(spark, root) == {("a", 1), ("b", 9), (None, 3), (None, 4)}
+    assert values(spark, root, "trials") == {("a", 1), ("b", 2), (None, 3), (None, 4)}
+    assert {r.recording_id for r in snap.committed(spark, root).collect()} == {"a", "b", None}
+    assert snap.superseded(spark, root).count() == 0
+    # a recording that lost all rows, and one that never had any, are finished and empty
+    keys = spark.createDataFrame([("d", "a"), ("d", "b"), ("d", ""), ("d", "new")], "dataset_id string, recording_id string")
+    last = snap.write_recording({"spikes": first.filter("v = 1"), "trials": first.limit(0)}, root, recordings=keys)
+    assert values(spark, root) == {("a", 1)} and values(spark, root, "trials") == set()
+    assert {r.recording_id for r in snap.committed(spark, root).collect()} == {"a", "b", None, "new"}
+    assert snap.superseded(spark, root).filter(F.col("version") != last).count() == 2
+
+
+def test_a_write_that_dies_leaves_the_old_recordings(spark, tmp_path):
+    root = str(tmp_path / "out")
+    first = spark.createDataFrame([("d", "a", 1), ("d", "b", 2)], FRAME)
+    snap.write_recording({"spikes": first, "trials": first}, root)
+    second = spark.createDataFrame([("d", "b", 7), ("d", "c", 8)], FRAME)
+    broken = second.withColumn("v", F.raise_error(F.lit("killed")).cast("int"))
+    with pytest.raises(Exception, match="killed"):
+        snap.write_recording({"spikes": second, "trials": broken}, root)
+    assert values(spark, root) == {("a", 1), ("b", 2)} == values(spark, root, "trials")
+    items = second.select("dataset_id", "recording_id")
+    todo = jobs.incremental_skip(items, snap.committed(spark, root), ["dataset_id", "recording_id"])
+    assert {r.recording_id for r in todo.collect()} == {"c"}
+    snap.write_recording({"spikes": second, "trials": second}, root)
+    assert values(spark, root) == {("a", 1), ("b", 7), ("c", 8)} == values(spark, root, "trials")
+
+
+def test_commits_side_by_side(spark, tmp_path):
+    root = str(tmp_path / "out")
+    one, two = (spark.createDataFrame([("d", "007", v), ("e", f"{v}", v)], FRAME) for v in (1, 2))
+    staged = [snap.stage({"spikes": df}, root) for df in (one, two)]
+    assert values(spark, root) == set()
+    # the later commit wins, whichever was staged first
+    for version in reversed(staged):
+        snap.commit(spark, root, version, ["spikes"])
+    assert values(spark, root) == {("007", 1), ("1", 1), ("2", 2)}
+    typed = snap.read_component(spark, root, "spikes", "v int, recording_id bigint")
+    assert {(r.recording_id, r.v) for r in typed.collect()} == {(7, 1), (1, 1), (2, 2)}
+    pruned = snap.read_component(spark, root, "spikes", FRAME).filter("dataset_id = 'e'")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset_id" in plan
+    with pytest.raises(ValueError):
+        snap.write_recording({"_commits": one}, root)
 
 
 def test_arrivals_handle_each_file_once(spark, tmp_path):
