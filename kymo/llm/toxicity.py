@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary windows and one on the parts of toxic
-windows that ordinary ones lack. Every window of a text is compressed with the ordinary
+zstandard trains two dictionaries, one on ordinary windows and one on what is left of toxic windows
+without the stretches that ordinary ones have, too. Every window of a text is compressed with the ordinary
 dictionary alone and with the toxic one added; the bytes saved are its distance. Counts of
 windows above several thresholds enter a logistic calibration fitted on labelled rows.
 """
@@ -33,7 +33,8 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("windows"
 class Settings:
     """``train_docs`` bounds the labelled sample (toxic documents, and twice as many ordinary
     ones) that dictionaries and calibration are fitted on, ``train_windows`` the windows per class
-    that go into a dictionary; nothing bounds what is scored."""
+    that go into a dictionary, ``ordinary_bytes`` and ``toxic_bytes`` the dictionaries, the toxic one
+    made of segments of ``toxic_segment`` bytes; nothing bounds what is scored."""
 
     window: int = 48
     step: int = 32
@@ -41,7 +42,8 @@ class Settings:
     train_windows: int = 20_000
     train_docs: int = 2_500
     ordinary_bytes: int = 98_304
-    toxic_bytes: int = 4_096
+    toxic_bytes: int = 1_024
+    toxic_segment: int = 16
     least_count: int = 8
     lift: float = 8.0
     level: int = 5
@@ -110,16 +112,18 @@ def _marked(window: bytes, telling: set[bytes]) -> list[bytes]:
     return out
 
 
-def dictionary(samples: list[bytes], size: int) -> bytes:
+def dictionary(samples: list[bytes], size: int, **options: int) -> bytes:
     """A trained dictionary; where there is too little to train on, the samples themselves."""
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(size, samples, **options).as_bytes()
     except zstandard.ZstdError:
         return b" ".join(dict.fromkeys(samples))[-size:]
 
 
 def train(ordinary: list[bytes], toxic: list[bytes], settings: Settings) -> tuple[bytes, bytes]:
-    """Contents of both dictionaries."""
+    """Both dictionaries. Trained on whole toxic windows, the second would spend itself on what both
+    classes say; what remains of a window are the stretches whose grams are frequent in toxic windows
+    and ``lift`` times rarer in ordinary ones."""
     base = dictionary(ordinary, settings.ordinary_bytes)
     usual, telling = Counter(), Counter()
     for window in ordinary:
@@ -132,10 +136,10 @@ def train(ordinary: list[bytes], toxic: list[bytes], settings: Settings) -> tupl
         for g, n in telling.items()
         if n >= least and n * len(ordinary) > settings.lift * (usual[g] + 1) * len(toxic)
     }
-    found = Counter(x for window in toxic for x in _marked(window, keep))
-    # most frequent last: nearest to the text, so cheapest to point at
-    ranked = [x for x, n in sorted(found.items(), key=lambda e: (e[1], e[0])) if n >= min(20, least)]
-    return base, b" ".join(ranked)[-settings.toxic_bytes :]
+    left = [x for x in (b" ".join(_marked(window, keep)) for window in toxic) if x]
+    if not left:
+        return base, b""
+    return base, dictionary(left, settings.toxic_bytes, k=settings.toxic_segment, d=6)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1.0):

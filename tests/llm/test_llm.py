@@ -385,6 +385,29 @@ def test_toxicity(spark, odd, none):
     assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.9
 
 
+def test_both_toxicity_dictionaries_are_trained():
+    pick = np.random.default_rng(8)
+    say = lambda: " ".join("".join(pick.choice(list("aeioubdfglmnrst"), 5)) for _ in range(30)).encode()
+    ordinary = [say() for _ in range(800)]
+    slurs = [b"grumblefoo blastwort", b"snarkelpuff vexmuddle", b"quibbledrat"]
+    toxic = [say() + b" " + slurs[i % 3] + b" " + say() for i in range(800)]
+    settings = toxicity.Settings()
+    base, extra = toxicity.train(ordinary, toxic, settings)
+    # both carry the mark of a trained dictionary, and are no longer than asked
+    assert base[:4] == extra[:4] == bytes.fromhex("37a430ec")
+    assert len(base) <= settings.ordinary_bytes and len(extra) <= settings.toxic_bytes
+    # it is made of segments, which may end within a word
+    assert all(any(w[i : i + 7] in extra for i in range(3)) for s in slurs for w in s.split())
+    model = toxicity.Model(base, extra, np.zeros(1), np.ones(1), np.zeros(1), settings)
+    plain, both = toxicity._pair(model)
+    saved = [toxicity.savings(x, plain, both, settings).max() for x in (toxic[0], say())]
+    assert saved[0] >= 5 > saved[1]
+    # nothing sets the classes apart, or there is too little to train on
+    assert toxicity.train(ordinary, ordinary, settings)[1] == b""
+    base, extra = toxicity.train([b"a quiet day"], [b"grumblefoo"] * 3, settings)
+    assert b"quiet" in base and b"grumblefoo" in extra
+
+
 def test_toxicity_odds_are_those_of_all_labels(spark, odd):
     """The same document fits, whether or not the sample's bounds bind."""
     pick = np.random.default_rng(6)
