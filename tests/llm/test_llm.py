@@ -404,7 +404,7 @@ def test_both_toxicity_dictionaries_are_trained():
     assert saved[0] >= 5 > saved[1]
     # nothing sets the classes apart, or there is too little to train on
     assert toxicity.train(ordinary, ordinary, settings)[1] == b""
-    base, extra = toxicity.train([b"a quiet day"], [b"grumblefoo"] * 3, settings)
+    base, extra = toxicity.train([b"a quiet day"] * 30, [b"grumblefoo"] * 3, settings)
     assert b"quiet" in base and b"grumblefoo" in extra
 
 
