@@ -49,9 +49,11 @@ def fold(key: str, n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it; one of our own only where it is unset."""
+    """The folder all executors see, as the cluster names it; one of our own only in a local session."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         place = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(place)
     return place
