@@ -8,6 +8,7 @@ recording are taken lane by lane over the digest's leading bits.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from kymo.functions.hashing import (
     string_kfold,
 )
 from kymo.operators import intervals as iv
-from kymo.plans.lanes import Cuts, attach, measure, no_cuts, ordered
+from kymo.plans.lanes import BROADCAST_BYTES, Cuts, attach, looked_up, matched, measure, no_cuts, ordered
 from kymo.sources.store import kept
 
 
@@ -34,10 +35,10 @@ def shuffled_rank(
     ident: Column,
     seed: int | str | Column = 42,
     rank: str = "rank",
-    total: str = "total",
+    total: str | None = "total",
     cuts: Cuts | None = None,
 ) -> DataFrame:
-    """Rank from 1 in shuffled order within the keys, and the size of the group."""
+    """Rank from 1 in shuffled order within the keys, and the size of the group if asked for."""
     if isinstance(seed, Column):
         digest = F.md5(F.concat(ident.cast("string"), F.lit("_"), seed.cast("string")))
     else:
@@ -53,7 +54,7 @@ def shuffled_rank(
         "at_",
         ["at_", "digest_", "ident_"],
         number=rank,
-        totals={total: F.lit(1)},
+        totals={total: F.lit(1)} if total else None,
         cuts=cuts,
     ).drop("at_", "digest_", "ident_")
 
@@ -169,36 +170,86 @@ def stratified_folds(
     fold; in the other folds the rest of the class is shuffled again and its leading
     share is valid. ``counts`` gives the items per class (``n_``) where they are known
     without reading ``df``.
+
+    Items unfold into folds last. A class is shuffled once and ranked fold by fold where it lies; in
+    one that is cut into lanes, counts per lane of a fold's digests tell which lane the last
+    valid item is in, and only that lane is ranked.
     """
     if counts is None:
         counts = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n_"))
-    cuts = measure(df, [*keys, label], "", bounds=DIGEST_RANGE, stats=counts)
+    group = [*keys, label]
+    cuts = measure(df, group, "", bounds=DIGEST_RANGE, stats=counts)
     shares = _class_shares(counts, keys, label, n_folds, val_ratio)
-    known = attach(df, shares, [*keys, label], cuts, 64 * n_folds)
-    placed = shuffled_rank(known, [*keys, label], F.col(ident), seed, "rank_", "total_", cuts)
-    each = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))))
-    place = (F.col("before_") + F.col("rank_") - 1) % n_folds
-    each = each.withColumns(
-        {
-            "home_": place.cast("int") == F.col("fold"),
-            "valid_": F.element_at("n_valid_", F.col("fold")),
-        }
-    ).drop("rank_", "total_", "before_", "n_valid_")
-    rest = shuffled_rank(
-        each,
-        [*keys, label, "fold", "home_"],
-        F.col(ident),
-        F.col("fold") + F.lit(seed),
-        "rank_",
-        "total_",
-        cuts.refined("fold", "home_"),
-    )
-    split = (
-        F.when(F.col("home_"), TEST)
-        .when(F.col("rank_") <= F.col("valid_"), VALID)
-        .otherwise(TRAIN)
+    if not cuts.levels:
+        return _folds_by_rank(df, shares, group, ident, n_folds, seed, cuts)
+    [level] = cuts.levels
+    met = looked_up(df, level.table, group, level.n_bytes)
+    few = met.filter("width_ is null").drop("lo_", "width_")
+    many = met.filter("width_ is not null").drop("lo_", "width_")
+    return _folds_by_rank(few, shares, group, ident, n_folds, seed, replace(cuts, levels=())).unionByName(
+        _folds_by_lane(many, shares, group, ident, n_folds, seed, cuts)
     )
-    return rest.withColumn("split", split).drop("rank_", "total_", "home_", "valid_")
+
+
+def _home(n_folds: int) -> Column:
+    """The test fold of an item, from its rank in its class and the items in the classes before."""
+    return ((F.col("before_") + F.col("rank_") - 1) % n_folds).cast("int")
+
+
+def _fold_digest(ident: str, fold: int, seed: int) -> Column:
+    return shuffle_digest(F.col(ident), fold + seed)
+
+
+def _folds_by_rank(
+    df: DataFrame, shares: DataFrame, group: list[str], ident: str, n_folds: int, seed: int, cuts: Cuts
+) -> DataFrame:
+    """Folds of classes that fit into a task: one shuffle by class, a sort for each fold."""
+    names = df.columns
+    placed = shuffled_rank(df, group, F.col(ident), seed, "rank_", None, cuts)
+    valid = [F.element_at("n_valid_", F.lit(k)).alias(f"valid_{k}_") for k in range(n_folds)]
+    known = attach(placed, shares.select(*group, "before_", *valid), group, cuts, 16)
+    rows = known.withColumn("home_", _home(n_folds)).drop("rank_", "before_")
+    for k in range(n_folds):
+        order = [F.unhex(_fold_digest(ident, k, seed)), F.col(ident)]
+        rank = F.row_number().over(Window.partitionBy(*group, F.col("home_") == k).orderBy(*order))
+        rows = rows.withColumn(f"valid_{k}_", rank <= F.col(f"valid_{k}_"))
+    part = lambda k: F.when(F.col("home_") == k, TEST).when(F.col(f"valid_{k}_"), VALID).otherwise(TRAIN)
+    parts = F.array(*[F.struct(F.lit(k).alias("fold"), part(k).alias("split")) for k in range(n_folds)])
+    return rows.select(*names, F.explode(parts).alias("p_")).select(*names, "p_.*")
+
+
+def _folds_by_lane(
+    df: DataFrame, shares: DataFrame, group: list[str], ident: str, n_folds: int, seed: int, cuts: Cuts
+) -> DataFrame:
+    """Folds of classes cut into lanes: those before the lane of the last valid item are valid."""
+    names, [level] = df.columns, cuts.levels
+    on = [*group, "fold"]
+    size = level.n_bytes * n_folds
+    hot = matched(shares, F.broadcast(level.table) if level.n_bytes <= BROADCAST_BYTES else level.table, group, "inner")
+    hot = kept(hot.select(*group, "before_", "n_valid_", "lo_", "width_"))
+    placed = shuffled_rank(df, group, F.col(ident), seed, "rank_", None, cuts)
+    placed = looked_up(placed, hot.select(*group, "before_"), group, size)
+    items = kept(placed.withColumn("home_", _home(n_folds)).select(*names, "home_"))
+
+    met = looked_up(items, hot.select(*group, "lo_", "width_"), group, size)
+    at = lambda k: F.floor((digest_position(_fold_digest(ident, k, seed)) - F.col("lo_")) / F.col("width_"))
+    folds = F.array(*[F.struct(F.lit(k).alias("fold"), at(k).cast("bigint").alias("step_")) for k in range(n_folds)])
+    each = met.select(*names, "home_", F.explode(folds).alias("f_")).select(*names, "home_", "f_.*")
+    rest = each.filter(F.col("home_") != F.col("fold"))
+    counts = rest.groupBy(*on, "step_").agg(F.count(F.lit(1)).alias("n_"))
+    running = ordered(counts, on, "step_", sums={"upto_": "n_"}, cuts=no_cuts(on))
+    asked = hot.select(*group, F.explode("n_valid_").alias("fold", "valid_"))
+    last = matched(running, asked, on, "inner").filter("valid_ > upto_ - n_ and valid_ <= upto_")
+    last = kept(last.select(*on, F.col("step_").alias("last_"), (F.col("valid_") - F.col("upto_") + F.col("n_")).alias("left_")))
+
+    placed = looked_up(each, last, on, 2 * size)
+    home, open_ = F.col("home_") == F.col("fold"), F.col("step_") == F.col("last_")
+    known = F.when(home, TEST).when(F.col("step_") < F.col("last_"), VALID).otherwise(TRAIN)
+    told = placed.filter(home | ~F.coalesce(open_, F.lit(False))).withColumn("split", known)
+    order = [F.unhex(F.md5(F.concat(F.col(ident).cast("string"), F.lit("_"), (F.col("fold") + seed).cast("string")))), F.col(ident)]
+    rank = F.row_number().over(Window.partitionBy(*on).orderBy(*order))
+    edge = placed.filter(~home & open_).withColumn("split", F.when(rank <= F.col("left_"), VALID).otherwise(TRAIN))
+    return told.select(*names, "fold", "split").unionByName(edge.select(*names, "fold", "split"))
 
 
 def rare_class_filter(
@@ -246,21 +297,27 @@ def sleep_splits(
     )
     person = F.col(subject).cast("string")
     both = F.concat_ws("_", person, F.col(session).cast("string"))
+    names = F.array(F.lit(TRAIN), F.lit(VALID), F.lit(TEST))
+
+    def letters(parts: Column) -> Column:
+        """A digit for each fold's part: shorter in every epoch than the names."""
+        return F.array_join(F.transform(parts, lambda p: F.array_position(names, p).cast("string")), "")
+
     common = known.join(counts.drop("n_"), [recording, label], "left_semi").withColumns(
         {
-            "person_parts_": string_kfold(person, n_folds, val_ratio, seed),
-            "both_parts_": string_kfold(both, n_folds, val_ratio, seed),
+            "person_parts_": letters(string_kfold(person, n_folds, val_ratio, seed)),
+            "both_parts_": letters(string_kfold(both, n_folds, val_ratio, seed)),
         }
     )
     epochs = iv.interval_subdivide(common, epoch).withColumn(
         "epoch_", F.concat_ws("_", F.col(ident).cast("string"), F.col("start").cast("string"))
     )
     folds = stratified_folds(epochs, [recording], label, "epoch_", n_folds, val_ratio, seed, counts)
-    at = F.col("fold") + 1
+    part = lambda of: F.element_at(names, F.substring(of, F.col("fold") + 1, 1).cast("int"))
     return folds.withColumns(
         {
-            "intersubject": F.element_at("person_parts_", at),
-            "intersession": F.element_at("both_parts_", at),
+            "intersubject": part(F.col("person_parts_")),
+            "intersession": part(F.col("both_parts_")),
         }
     ).drop("epoch_", "person_parts_", "both_parts_")
 

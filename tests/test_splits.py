@@ -60,6 +60,33 @@ def test_stratified_folds(spark, cutting):
     assert sorted(other) != sorted(got)
 
 
+def test_stratified_folds_unfold_after_the_shuffles(spark, cutting):
+    """Items are shuffled, not items times folds: what unfolds is at the end of the plan, or counted."""
+    rows = [(i, "AB"[i % 7 == 0], f"x{i % 3}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, label string, more string")
+    folds = sp.stratified_folds(df, [], "label", "id", n_folds=4)
+    got = folds.collect()
+    # ranks within a class, taken in one list
+    md5 = lambda i, s: (hashlib.md5(f"{i}_{s}".encode()).hexdigest(), i)
+    split, home, before = {}, {}, 0
+    for label in "AB":
+        mine = [r[0] for r in rows if r[1] == label]
+        home |= {i: (before + n) % 4 for n, i in enumerate(sorted(mine, key=lambda i: md5(i, 42)))}
+        before += len(mine)
+    for fold in range(4):
+        valid = Counter(r.label for r in got if r.fold == fold and r.split == "valid")
+        for label in "AB":
+            rest = sorted((r[0] for r in rows if r[1] == label and home[r[0]] != fold), key=lambda i: md5(i, 42 + fold))
+            split |= {(i, fold): "valid" if n < valid[label] else "train" for n, i in enumerate(rest)}
+        split |= {(i, fold): "test" for i in home if home[i] == fold}
+        assert sum(valid.values()) == -(-sum(home[i] != fold for i in home) // 5)
+    assert {(r.id, r.fold): r.split for r in got} == split and len(got) == 800
+    assert all(r.more == f"x{r.id % 3}" for r in got)
+    if cutting == "whole":
+        plan = folds._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("Exchange")
+
+
 @pytest.mark.parametrize(
     "split,sizes",
     [
