@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from kymo.plans.lanes import Cuts, measure, ordered
+from kymo.plans.lanes import LANE, Cuts, assign_lanes, is_cut, measure, ordered
 
 # Waveform points kept, and the order of recorded regions.
 WAVEFORM_POINTS = 48
@@ -129,23 +130,37 @@ def cube_to_long(
 ) -> DataFrame:
     """``n`` copies of a bin's stamp for a count of ``n``, in time order per trial.
 
+    Bins are put in order, not copies: a bin's first index is the sum of the counts before it.
     Negative or fractional counts raise when they are read.
     """
     count = F.col(n).cast("bigint")
     valid = (F.col(n) >= 0) & (count == F.col(n))
     checked = F.when(valid, count).otherwise(F.raise_error(F.lit("counts must be whole")))
-    copies = (
-        bins.withColumn("count_", checked)
-        .filter(F.col("count_") > 0)
-        .select(
-            *trial,
-            t,
-            channel,
-            F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count_"))).alias("copy"),
-        )
+    counted = bins.withColumn("count_", checked).filter(F.col("count_") > 0).select(*trial, t, channel, "count_")
+    counted = counted if trial else counted.withColumn("all_", F.lit(0))
+    keys = list(trial) or ["all_"]
+    rows = assign_lanes(counted, keys, t, tie=channel)
+    at = [*keys, LANE] if is_cut(rows) else keys
+    # Bins of one stamp and channel, smallest first: each adds the copies that the one before it
+    # lacks, once for itself and once for each larger bin.
+    upwards = Window.partitionBy(*at, t, channel).orderBy("count_")
+    same = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # dealt by trial, so that what follows moves no row again
+    sized = rows.repartition(*at).withColumns(
+        {
+            "below_": F.coalesce(F.lag("count_").over(upwards), F.lit(0).cast("bigint")),
+            "times_": (F.count(F.lit(1)).over(same) - F.row_number().over(upwards) + 1).cast("bigint"),
+        }
+    ).withColumn("made_", (F.col("count_") - F.col("below_")) * F.col("times_"))
+    summed = ordered(sized, keys, t, [t, channel, "count_"], sums={"upto_": "made_"}).filter(F.col("made_") > 0)
+    each = summed.withColumn("j_", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("made_") - 1)))
+    return each.select(
+        *trial,
+        t,
+        channel,
+        (F.col("below_") + F.expr("j_ div times_") + 1).alias("copy"),
+        (F.col("upto_") - F.col("made_") + F.col("j_")).alias("idx"),
     )
-    numbered = ordered(copies, trial, t, [t, channel, "copy"], number="idx")
-    return numbered.withColumn("idx", F.col("idx") - 1)
 
 
 def cube_units(bins: DataFrame, channel: str, n: str, prefix: str = "chan") -> DataFrame:

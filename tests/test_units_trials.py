@@ -28,6 +28,26 @@ def test_cube(spark, cutting):
         un.cube_to_long(bad, ["trial"], "t", "channel", "n").collect()
 
 
+def test_cube_of_bins_that_share_a_stamp_and_channel(spark, cutting):
+    rows = [("r", 5, 1, float(n)) for n in (3, 1, 3, 0, 2)] + [("r", 5, 2, 2.0), ("r", 4, 1, 1.0), ("q", 1, 1, 2.0)]
+    df = spark.createDataFrame(rows, "trial string, t bigint, channel int, n double")
+    for keys in (["trial"], []):
+        want, idx = [], {}
+        copies = [(trial if keys else "", t, c, k + 1) for trial, t, c, n in rows for k in range(int(n))]
+        for trial, t, c, k in sorted(copies):
+            want.append((trial, t, c, k, idx.setdefault(trial, 0)))
+            idx[trial] += 1
+        got = un.cube_to_long(df, keys, "t", "channel", "n").collect()
+        assert sorted((r.trial if keys else "", r.t, r.channel, r.copy, r.idx) for r in got) == want
+
+
+def test_cube_shuffles_bins_not_copies(spark):
+    df = spark.createDataFrame([("r", 1, 1, 2.0)], "trial string, t bigint, channel int, n double")
+    plan = un.cube_to_long(df, ["trial"], "t", "channel", "n")._jdf.queryExecution().executedPlan().toString()
+    # the plan is printed from its result down to its input
+    assert plan.index("Generate explode") < plan.index("Exchange") and plan.count("Exchange") == 1
+
+
 def test_explode_spikes_keeps_silent_units(spark, cutting):
     df = spark.createDataFrame([("r", 0, [5, 1]), ("r", 1, []), ("r", 2, [3])],
                                "k string, u int, times array<bigint>")
