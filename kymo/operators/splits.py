@@ -25,7 +25,7 @@ from kymo.functions.hashing import (
     string_kfold,
 )
 from kymo.operators import intervals as iv
-from kymo.plans.lanes import BROADCAST_BYTES, Cuts, attach, looked_up, matched, measure, no_cuts, ordered
+from kymo.plans.lanes import BROADCAST_BYTES, Cuts, attach, dealt, looked_up, matched, measure, no_cuts, ordered
 from kymo.sources.store import kept
 
 
@@ -205,7 +205,7 @@ def _folds_by_rank(
 ) -> DataFrame:
     """Folds of classes that fit into a task: one shuffle by class, a sort for each fold."""
     names = df.columns
-    placed = shuffled_rank(df, group, F.col(ident), seed, "rank_", None, cuts)
+    placed = shuffled_rank(dealt(df, group, cuts), group, F.col(ident), seed, "rank_", None, cuts)
     valid = [F.element_at("n_valid_", F.lit(k)).alias(f"valid_{k}_") for k in range(n_folds)]
     known = attach(placed, shares.select(*group, "before_", *valid), group, cuts, 16)
     rows = known.withColumn("home_", _home(n_folds)).drop("rank_", "before_")

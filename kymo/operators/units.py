@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kymo.plans.lanes import LANE, Cuts, assign_lanes, is_cut, measure, ordered
+from kymo.plans.lanes import LANE, Cuts, assign_lanes, dealt, is_cut, measure, ordered
 
 # Waveform points kept, and the order of recorded regions.
 WAVEFORM_POINTS = 48
@@ -139,14 +139,15 @@ def cube_to_long(
     counted = bins.withColumn("count_", checked).filter(F.col("count_") > 0).select(*trial, t, channel, "count_")
     counted = counted if trial else counted.withColumn("all_", F.lit(0))
     keys = list(trial) or ["all_"]
-    rows = assign_lanes(counted, keys, t, tie=channel)
+    cuts = measure(counted, keys, t, tie=channel)
+    rows = assign_lanes(counted, keys, t, cuts)
     at = [*keys, LANE] if is_cut(rows) else keys
     # Bins of one stamp and channel, smallest first: each adds the copies that the one before it
     # lacks, once for itself and once for each larger bin.
     upwards = Window.partitionBy(*at, t, channel).orderBy("count_")
     same = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # dealt by trial, so that what follows moves no row again
-    sized = rows.repartition(*at).withColumns(
+    sized = dealt(rows, at, cuts).withColumns(
         {
             "below_": F.coalesce(F.lag("count_").over(upwards), F.lit(0).cast("bigint")),
             "times_": (F.count(F.lit(1)).over(same) - F.row_number().over(upwards) + 1).cast("bigint"),

@@ -42,6 +42,8 @@ SCAN = 1024
 # A table is broadcast up to this many bytes; beyond, both sides of a join are salted.
 BROADCAST_BYTES = 64 << 20
 SALTS = 256
+# Rows that a task sorts, where their number is known beforehand.
+TASK_ROWS = 1 << 18
 # A table of up to so many rows of known width is held by the driver instead of being written.
 FEW = 1000
 
@@ -116,8 +118,7 @@ class Cuts:
 
     Lanes are a function of key and position (and of the column that cuts ties) alone, so cuts
     measured on an operator's input also serve every result it derives with the same keys.
-    ``on`` are the measured keys. ``key_bytes`` sums the text in all keys, ``most`` is the
-    largest number of lanes of a key.
+    ``on`` are the measured keys. ``key_bytes`` sums the text in all keys, ``n_rows`` counts the rows.
     """
 
     keys: tuple[str, ...]
@@ -125,6 +126,7 @@ class Cuts:
     levels: tuple[Level, ...] = ()
     n_keys: int | None = None
     key_bytes: int = 0
+    n_rows: int | None = None
 
     def along(self, lowest: int, width: int) -> Cuts:
         """The same keys on an axis with a known range."""
@@ -184,8 +186,8 @@ def _hot(stats: DataFrame, keys: list[str]) -> tuple[Cuts, tuple[DataFrame, int]
     """What is known of all keys, and a table of those to cut with its size, or None."""
     text = [F.octet_length(k) for k in keys if isinstance(stats.schema[k].dataType, T.StringType)]
     long = sum((F.coalesce(c, F.lit(0)) for c in text), F.lit(0)).cast("bigint")
-    n_keys, most, held = stats.agg(F.count(F.lit(1)), F.max("n_"), F.sum(long)).first()
-    cuts = Cuts(tuple(keys), tuple(keys), (), n_keys, int(held or 0))
+    n_keys, most, held, n_rows = stats.agg(F.count(F.lit(1)), F.max("n_"), F.sum(long), F.sum("n_")).first()
+    cuts = Cuts(tuple(keys), tuple(keys), (), n_keys, int(held or 0), int(n_rows or 0))
     limit = _setting(stats, HOT_ROWS_CONF, HOT_ROWS)
     if most is None or most <= limit:
         return cuts, None
@@ -310,6 +312,11 @@ def assign_lanes(
     return rows.withColumn(LANE, F.coalesce("lane_so_far_", F.lit(-1).cast("bigint"))).drop("axis_pos_", "axis_tie_", "lane_so_far_")
 
 
+def dealt(rows: DataFrame, on: Sequence[str], cuts: Cuts) -> DataFrame:
+    """Rows dealt to as many tasks as their number asks for, so that no task sorts more as a table grows."""
+    return rows.repartition(max(1, -(-(cuts.n_rows or 0) // TASK_ROWS)), *on) if cuts.n_rows is not None else rows.repartition(*on)
+
+
 def is_cut(df: DataFrame) -> bool:
     """False when no key of ``df`` was large enough to be cut into lanes."""
     return bool(df.schema[LANE].metadata.get("cut", True))

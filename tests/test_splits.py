@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kymo.functions import hashing as hs
 from kymo.operators import splits as sp
+from kymo.plans import lanes
 
 
 def md5_int(text):
@@ -256,3 +257,11 @@ def test_sleep_splits(spark, cutting):
     assert len(got) == 36 * 3 and {r.id for r in got} == {0, 1, 2}
     assert Counter(r.split for r in got)["test"] == 36
     assert len({(r.fold, r.intersubject, r.intersession) for r in got}) == 3
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Ranks within classes are sorted by as many tasks as the counted rows ask for."""
+    monkeypatch.setattr(lanes, "TASK_ROWS", 10)
+    folds = sp.stratified_folds(labelled(spark), [], "label", "id")
+    assert "REPARTITION_BY_NUM" in (plan := folds._jdf.queryExecution().executedPlan().toString())
+    assert ", 10), REPARTITION_BY_NUM" in plan and folds.count() == 500
