@@ -86,9 +86,11 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def rows(batches: Iterator[pa.RecordBatch], size: int = 512) -> Iterator[tuple]:
+    """The batches' rows; so many at a time become Python objects."""
     for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+        for at in range(0, batch.num_rows, size):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, size).columns), strict=True)
 
 
 def batched(schema: pa.Schema, records: Iterator[tuple], size: int = 1000, weight: int = 1 << 24):

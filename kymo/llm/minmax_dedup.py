@@ -47,19 +47,6 @@ class Settings:
         return 2 * self.permutations // self.rows
 
 
-class _Hashes(dict):
-    limit = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of the whole text; fewer words are one shingle."""
     found = words(text, lower=True)
@@ -67,7 +54,7 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     n = len(found)
     size = min(size, n)
-    each = np.fromiter(map(_hashes.__getitem__, found), np.uint64, n)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, n)
     total = np.full(n - size + 1, size, np.uint64)
     for i in range(size):
         total = mix(total + each[i : n - size + 1 + i])

@@ -3,15 +3,18 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from kymo.llm import divergence, hamming, language, minmax_dedup, mixing, packing, page_text, pitman_yor, sanitise, toxicity
-from kymo.llm.common import table
+from kymo.llm.common import rows, table
 from kymo.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, a int"
@@ -97,6 +100,39 @@ def test_packing_ids_are_those_of_whole_texts():
         assert np.frombuffer(packing.ids_of(text, cache), "<u4").tolist() == want, text
 
 
+def _peak(work):
+    """Bytes that ``work`` takes at most, and what stays of them."""
+    tracemalloc.start()
+    try:
+        work()
+        stays, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    return most, stays
+
+
+def test_workers_keep_little_of_what_they_read():
+    # every word is a new one
+    texts = [" ".join(f"{i}x{j}" for j in range(2_000)) for i in range(300)]
+    assert _peak(lambda: [minmax_dedup.shingles(text, 5).size for text in texts])[1] < 2 << 20
+
+    class Plain:
+        model = None
+
+        def encode(self, part, add_special_tokens):
+            return SimpleNamespace(ids=[1, 2])
+
+    cache = packing._Cache(Plain())
+    assert _peak(lambda: [len(packing.ids_of(text, cache)) for text in texts])[0] < 72 << 20
+    assert len(cache) + len(cache.older) <= 2 * 131_072
+
+
+def test_rows_of_a_batch_become_objects_bit_by_bit():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(10_000)), "text": ["x" * 2_000] * 10_000})
+    assert [r[0] for r in rows([batch, batch.slice(0, 0), batch.slice(9_000)])] == [*range(10_000), *range(9_000, 10_000)]
+    assert _peak(lambda: sum(len(r[1]) for r in rows([batch])))[0] < 4 << 20
+
+
 def test_packing_of_empty_documents(spark, odd):
     docs = spark.range(4000).selectExpr("id as doc_id", "cast(null as string) as text")
     assert packing.packed(docs, tokenizer_path()).select("sequence_id").distinct().count() == 2
