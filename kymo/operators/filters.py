@@ -7,10 +7,11 @@ needs of others comes from joins on block numbers; nothing runs over all blocks
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,13 +178,14 @@ def _power(a: np.ndarray, n: int) -> np.ndarray:
     return np.linalg.matrix_power(a, n)
 
 
-def _swept(blocks: DataFrame, keys: list[str], cut: float, rate: float, size: int) -> DataFrame:
-    """One direction of the recursion over ``(keys, block_, last_, x_)``; ``x_`` becomes the output.
+def _both_ways(blocks: DataFrame, keys: list[str], cut: float, rate: float, size: int) -> DataFrame:
+    """The recursion forward and backward over ``(keys, block_, last_, x_)``; ``x_`` becomes the output.
 
     A block is run from a zero state. Its end state then is ``A^n s + e`` for any start ``s``, and
     such maps are put together two by two: after p passes a block knows what the 2^p blocks
     before it leave behind. As the recursion is stable, ``A^n`` of that many samples vanishes,
-    and no more passes are needed.
+    and no more passes are needed. A stage has one Python function, so a core needs one worker; it
+    reads and returns Arrow arrays, without an object per sample or block.
     """
     a, b, c, d = state_space(butterworth(cut, rate))
     order = len(b)
@@ -197,40 +199,68 @@ def _swept(blocks: DataFrame, keys: list[str], cut: float, rate: float, size: in
         kicks[k], seen[k] = a @ kicks[k - 1], seen[k - 1] @ a
     impulse = np.concatenate([[d], kicks[:-1] @ c])
 
-    @F.pandas_udf("y array<double>, e array<double>")
-    def alone(x: pd.Series, block: pd.Series) -> pd.DataFrame:
-        made = []
-        for values, number in zip(x, block, strict=True):
-            v = np.asarray(values, float)
+    # what runs in workers refers to no other function of this module, whose imports take memory there
+    def views(lists: pa.Array) -> Iterator[np.ndarray]:
+        flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        return (flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True))
+
+    def listed(like: pa.Array, flat: np.ndarray, at: np.ndarray) -> pa.Array:
+        return type(like).from_arrays(pa.array(at, like.offsets.type), pa.array(flat))
+
+    def from_rest(like: pa.Array, inputs: Iterator[np.ndarray], numbers: pa.Array) -> pa.Array:
+        at = like.offsets.to_numpy()
+        at = at - at[0]
+        out, ends = np.empty(at[-1]), np.empty((len(like), order))
+        for i, (v, number) in enumerate(zip(inputs, numbers.to_numpy(zero_copy_only=False), strict=True)):
             n = len(v)
             width = 1 << (2 * n - 1).bit_length()
             y = np.fft.irfft(np.fft.rfft(v, width) * np.fft.rfft(impulse[:n], width), width)[:n]
             e = v[::-1] @ kicks[:n]
             if number == 0:
                 start = rest * v[0]
-                y, e = y + seen[:n] @ start, e + _power(a, n) @ start
-            made.append((y, e))
-        return pd.DataFrame({"y": [y for y, _ in made], "e": [e for _, e in made]})
-
+                y, e = y + seen[:n] @ start, e + np.linalg.matrix_power(a, n) @ start
+            out[at[i] : at[i + 1]], ends[i] = y, e
+        return pa.StructArray.from_arrays(
+            [listed(like, out, at), listed(like, ends.ravel(), np.arange(len(like) + 1) * order)], names=["y", "e"]
+        )
+
+    def with_start(y: pa.Array, starts: pa.Array) -> Iterator[np.ndarray]:
+        # a null start is an empty view
+        return (v + seen[: len(v)] @ s if len(s) else v for v, s in zip(views(y), views(starts), strict=True))
+
+    @F.arrow_udf("struct<y:array<double>,e:array<double>>")
+    def alone(x: pa.Array, block: pa.Array) -> pa.Array:
+        return from_rest(x, views(x), block)
+
+    @F.arrow_udf("struct<y:array<double>,e:array<double>>")
+    def back(y: pa.Array, starts: pa.Array, block: pa.Array) -> pa.Array:
+        return from_rest(y, (v[::-1] for v in with_start(y, starts)), block)
+
+    @F.arrow_udf("array<double>")
+    def added(y: pa.Array, starts: pa.Array) -> pa.Array:
+        at = y.offsets.to_numpy()
+        at = at - at[0]
+        out = np.empty(at[-1])
+        for i, v in enumerate(with_start(y, starts)):
+            out[at[i] : at[i + 1]] = v
+        return listed(y, out, at)
+
+    def started(run: DataFrame) -> DataFrame:
+        """With the state ``start_`` that the blocks before leave behind."""
+        left = run.select(*keys, "block_", F.col("e").alias("carry_"))
+        reach = 1
+        while np.abs(_power(a, size * reach)).max() > 1e-18:
+            far = left.select(*keys, (F.col("block_") + reach).alias("block_"), F.col("carry_").alias("far_"))
+            left = kept(matched(left, far, [*keys, "block_"]).select(*keys, "block_", _plus("carry_", _times(_power(a, size * reach), "far_")).alias("carry_")))
+            reach *= 2
+        start = left.select(*keys, (F.col("block_") + 1).alias("block_"), F.col("carry_").alias("start_"))
+        return matched(run, start, [*keys, "block_"])
+
+    turned = (F.col("last_") - F.col("block_")).alias("block_")
     run = kept(blocks.withColumn("r_", alone("x_", "block_")).select(*keys, "block_", "last_", "r_.y", "r_.e"))
-    left = run.select(*keys, "block_", F.col("e").alias("carry_"))
-    reach = 1
-    while np.abs(_power(a, size * reach)).max() > 1e-18:
-        far = left.select(*keys, (F.col("block_") + reach).alias("block_"), F.col("carry_").alias("far_"))
-        left = kept(matched(left, far, [*keys, "block_"]).select(*keys, "block_", _plus("carry_", _times(_power(a, size * reach), "far_")).alias("carry_")))
-        reach *= 2
-    start = left.select(*keys, (F.col("block_") + 1).alias("block_"), F.col("carry_").alias("start_"))
-
-    @F.pandas_udf("array<double>")
-    def added(y: pd.Series, s: pd.Series) -> pd.Series:
-        none = np.zeros(order)
-        made = []
-        for mine, begin in zip(y, s, strict=True):
-            mine = np.asarray(mine, float)
-            made.append(mine + seen[: len(mine)] @ (none if begin is None else np.asarray(begin, float)))
-        return pd.Series(made)
-
-    return matched(run, start, [*keys, "block_"]).select(*keys, "block_", "last_", added("y", "start_").alias("x_"))
+    again = started(run).select(*keys, turned, "last_", back("y", "start_", turned).alias("r_"))
+    run = kept(again.select(*keys, "block_", "last_", "r_.y", "r_.e"))
+    return started(run).select(*keys, turned, F.reverse(added("y", "start_")).alias("x_"))
 
 
 def _times(matrix: np.ndarray, column: str) -> Column:
@@ -287,10 +317,8 @@ def zero_phase_low_pass(
         F.when(F.col("block_") == F.col("last_"), back).otherwise(none),
     )
     lengths = slim.select(*keys, "block_", n.alias("n_"), F.when(F.col("block_") == 0, F.when(n > 1, pad).otherwise(0)).otherwise(0).alias("lead_"))
-    forward = _swept(known.select(*keys, "block_", "last_", x.alias("x_")), keys, cut, rate, size)
-    turned_back = forward.select(*keys, (F.col("last_") - F.col("block_")).alias("block_"), "last_", F.reverse("x_").alias("x_"))
-    backward = _swept(turned_back, keys, cut, rate, size)
-    result = backward.select(*keys, (F.col("last_") - F.col("block_")).alias("block_"), F.reverse("x_").alias("y_"))
+    result = _both_ways(known.select(*keys, "block_", "last_", x.alias("x_")), keys, cut, rate, size)
+    result = result.withColumnRenamed("x_", "y_")
     placed = matched(matched(blocks.select(*keys, "block_", "rows_"), lengths, on), result, on)
     each = placed.select(F.explode(F.arrays_zip("rows_", F.slice("y_", F.col("lead_") + 1, F.col("n_")).alias("o_"))).alias("e_"))
     return each.select(*[F.col(f"e_.rows_.{c}").alias(c) for c in df.columns], F.col("e_.o_").alias(out))

@@ -111,6 +111,19 @@ def test_zero_phase_equals_a_sequential_recursion(spark, n, cut):
     assert np.allclose(got, sequential(v, cut, 250.0), atol=1e-9)
 
 
+def test_zero_phase_has_one_python_function_in_a_stage(spark, monkeypatch):
+    """A core then needs one worker, whatever the table's size."""
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    write = fl.kept
+    monkeypatch.setattr(fl, "kept", lambda df: plans.append(plan(df)) or write(df))
+    v = np.arange(40.0)
+    got = fl.zero_phase_low_pass(frame(spark, v), ["k"], "t", ["t"], "v", 40.0, 250.0, "o", size=16)
+    plans.append(plan(got))
+    assert sum("EvalPython" in p for p in plans) == 3
+    assert max(p.count("EvalPython") for p in plans) == 1
+
+
 def test_low_pass_keeps_the_phase():
     x = np.cos(2 * np.pi * 5 * np.arange(1000) / 250)
     assert np.abs(sequential(x, 40.0, 250.0)[200:800] - x[200:800]).max() < 0.01
